@@ -9,9 +9,26 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from logtide.functions import jsontext as J
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row, however often they are used later.
+
+    After ``withColumn`` the optimizer copies a column's expression into every filter above
+    it, so a parsed document would be parsed again per condition. A one-row generator is
+    a border it does not move expressions across, and it stays inside generated code.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def with_box(df: DataFrame, value: str = "value", box: str = "_box") -> DataFrame:
+    """Add the parsed box of a JSON text column (see ``logtide.functions.jsontext``)."""
+    return computed_once(df, **{box: J.boxed(F.col(value))})
+
+
 def with_reject_reason(log: DataFrame, value: str = "value") -> DataFrame:
     """Add ``reject_reason``: null for usable JSON, else why the record is skipped."""
-    return log.withColumn("reject_reason", J.reject_reason(F.col(value)))
+    reason = J.reject_reason(F.col(value), F.col("_box"))
+    return computed_once(with_box(log, value), reject_reason=reason).drop("_box")
 
 
 def parse_split(log: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -25,49 +42,56 @@ def parse_split(log: DataFrame, value: str = "value") -> tuple[DataFrame, DataFr
 
 def declare(log: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """A JSON log read with a declared schema; records that are not JSON are skipped."""
-    return (
-        log.filter(J.is_json(F.col(value)))
-        .withColumn("_v", J.typed(F.col(value), schema))
-        .filter(F.col("_v").isNotNull())
-        .select(*keep, "_v.*")
-    )
+    good = with_box(log, value).filter(J.is_json(F.col(value), F.col("_box")))
+    return computed_once(good, _v=J.typed(F.col(value), schema)).filter(F.col("_v").isNotNull()).select(*keep, "_v.*")
 
 
 def unwrap_log(log: DataFrame, value: str = "value") -> DataFrame:
-    """Replace each value by its inner document; records without one are dropped."""
-    return log.withColumn(value, J.unwrap(F.col(value))).filter(F.col(value).isNotNull())
+    """Add ``document``: the text of the inner document of a possibly double-encoded value.
+
+    A JSON string literal gives the text inside it when that is JSON itself; any other
+    JSON value gives its own text; anything else gives null. ``literal`` tells which.
+    """
+    outer = computed_once(with_box(log, value), literal=J.kind(F.col("_box")) == "STRING")
+    once = F.when(J.is_json(F.col(value), F.col("_box")),
+                  F.when(F.col("literal"), J.literal_text(F.col("_box"))).otherwise(F.col(value)))
+    inner = computed_once(outer, _once=once).drop("_box")
+    checked = with_box(inner, "_once")
+    return computed_once(
+        checked, document=F.when(J.is_json(F.col("_once"), F.col("_box")), F.col("_once"))).drop("_once", "_box")
 
 
 def shape_guard(log: DataFrame, fields: dict[str, str], value: str = "value") -> DataFrame:
     """Add ``shape_ok``: whether the value is an object with these fields and types."""
-    return log.withColumn("shape_ok", J.has_shape(F.col(value), fields))
+    ok = J.has_shape(F.col(value), F.col("_box"), fields)
+    return computed_once(with_box(log, value), shape_ok=ok).drop("_box")
 
 
 def raw_to_typed(raw: DataFrame, paths: dict[str, tuple[str, str]], required: str, value: str = "raw") -> DataFrame:
-    """Typed rows from raw double-encoded text.
+    """Typed rows from raw double-encoded text, each text parsed once per level.
 
-    ``paths`` maps a column to (JSON path, ``string`` or ``double``). A missing path gives
-    '' or 0, and rows whose ``required`` column is '' are left out: those are records in
-    another format.
+    ``paths`` maps a column to (path, ``string`` or ``double``). A missing path gives ''
+    or 0, and rows whose ``required`` column is '' are left out: those are records in
+    another format, or broken ones.
     """
-    inner = raw.withColumn("_doc", J.unwrap(F.col(value)))
-    read: list[Column] = [
-        (J.text_or_empty if kind == "string" else J.number_or_zero)(F.col("_doc"), path).alias(name)
-        for name, (path, kind) in paths.items()
-    ]
-    return inner.select(*read).filter(F.col(required) != "")
+    inner = computed_once(with_box(raw.select(value), value), _text=J.literal_text(F.col("_box"))).drop("_box")
+    read: dict[str, Column] = {
+        name: (J.text_or_empty if want == "string" else J.number_or_zero)(F.col("_box"), path)
+        for name, (path, want) in paths.items()
+    }
+    return computed_once(with_box(inner, "_text"), **read).select(*paths).filter(F.col(required) != "")
 
 
 ORDER_PATHS = {
-    "order_id": ("$.order.orderId", "string"),
-    "customer_id": ("$.order.customerId", "string"),
-    "total": ("$.order.total", "double"),
-    "status": ("$.order.status", "string"),
+    "order_id": (".order.orderId", "string"),
+    "customer_id": (".order.customerId", "string"),
+    "total": (".order.total", "double"),
+    "status": (".order.status", "string"),
 }
 PAYMENT_PATHS = {
-    "order_id": ("$.orderId", "string"),
-    "amount": ("$.amount", "double"),
-    "status": ("$.status", "string"),
+    "order_id": (".orderId", "string"),
+    "amount": (".amount", "double"),
+    "status": (".status", "string"),
 }
 
 

@@ -155,15 +155,16 @@ def saga_story(steps: DataFrame) -> DataFrame:
         "order_id", (F.col("_p") + 1).alias("story_no"), "_e.step", "_e.at")
 
 
-def stage_funnel(counts: list[tuple[str, DataFrame]]) -> DataFrame:
-    """(stage_no, stage, records, dropped): dropped against the stage before."""
-    out: DataFrame | None = None
-    for i, (stage, df) in enumerate(counts):
-        row = df.agg(F.count("*").alias("records")).select(
-            F.lit(i).alias("stage_no"), F.lit(stage).alias("stage"), "records")
-        out = row if out is None else out.unionByName(row)
-    # One row per stage: a self join of a handful of rows.
-    before = out.select((F.col("stage_no") + 1).alias("stage_no"), F.col("records").alias("_before"))
-    return out.join(before, "stage_no", "left").select(
-        "stage_no", "stage", "records",
-        F.coalesce(F.col("_before") - F.col("records"), F.lit(0).cast("bigint")).alias("dropped"))
+def stage_funnel(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
+    """(stage_no, stage, records, dropped) from one pass over the records.
+
+    ``stages`` maps a stage to the condition that a record reached it; ``dropped`` counts
+    against the stage before.
+    """
+    counts = df.agg(*[F.count_if(c).alias(f"_n{i}") for i, c in enumerate(stages.values())])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("stage_no"), F.lit(name).alias("stage"), F.col(f"_n{i}").alias("records"),
+                 (F.col(f"_n{i - 1}") - F.col(f"_n{i}") if i else F.lit(0).cast("bigint")).alias("dropped"))
+        for i, name in enumerate(stages)
+    ])
+    return counts.select(F.inline(rows))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide.functions import rules as R
 from logtide.operators import stages as G
-from logtide.operators.decode import parse_split
-from logtide.operators.retry import message_outcomes, retry_plan
+from logtide.operators.decode import with_reject_reason
+from logtide.operators.retry import final_outcome, message_outcomes, retry_plan
 from logtide.plans import derived as D
 from logtide.plans.registry import query
 
@@ -158,13 +158,13 @@ def stage_funnel_query(spark: SparkSession, sf: str) -> DataFrame:
     """Counts along the chain, starting from a log with poison records."""
     received = D.log_orders(spark, sf).withColumn(
         "value", F.when(D.order_no("key") % 97 == 0, F.lit("heyyy")).otherwise(F.col("value")))
-    good, _ = parse_split(received)
-    orders = good.select(F.get_json_object("value", "$.orderId").alias("order_id"),
-                         F.lit(None).cast("array<string>").alias("items"), F.lit(0.0).alias("total"), F.col("timestamp").alias("ts"))
-    paid = G.to_payments(orders)
-    reserved = G.to_inventory(paid)
-    return G.stage_funnel([("received", received), ("parsed", good), ("paid", paid.filter(F.col("status") == "succeeded")),
-                           ("reserved", reserved), ("shipped", G.to_shipping(reserved))])
+    read = with_reject_reason(received.select("key", "value"))
+    oid = F.col("key")
+    parsed = F.col("reject_reason").isNull()
+    paid = parsed & ~R.is_declined(oid) & ~final_outcome(oid)["exhausted"]
+    reserved = paid & ~R.is_out_of_stock(oid)
+    return G.stage_funnel(read, {
+        "received": F.lit(True), "parsed": parsed, "paid": paid, "reserved": reserved, "shipped": reserved})
 
 
 STAGES = ["orders", "payments", "inventory", "shipping"]

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logtide import schemas as S
 from logtide.functions import rules as R
 from logtide.functions.hashing import murmur2, placement
-from logtide.functions.jsontext import json_kind, json_literal, reject_reason, unwrap
+from logtide.functions.jsontext import json_literal
 from logtide.functions.tracecontext import carried, inject, parent_of
-from logtide.operators.decode import ORDER_PATHS, PAYMENT_PATHS, declare, raw_to_typed, shape_guard
+from logtide.operators.decode import (
+    ORDER_PATHS, PAYMENT_PATHS, declare, raw_to_typed, shape_guard, unwrap_log, with_reject_reason,
+)
 from logtide.operators.partitions import salt_keys
 from logtide.plans import derived as D
 from logtide.plans.oracle import murmur2 as murmur2_sql, partition as partition_sql
@@ -21,8 +23,8 @@ from logtide.sources.tables import table
     SELECT order_id AS key, order_no % 97 <> 0 AS parsed, CASE WHEN order_no % 97 = 0 THEN 'invalid_json' END AS reason
     FROM f_orders""", ("f_orders",))
 def safe_parse_split(spark: SparkSession, sf: str) -> DataFrame:
-    log = D.dirty(D.log_orders(spark, sf)).select("key", reject_reason(F.col("value")).alias("reason"))
-    return log.select("key", F.col("reason").isNull().alias("parsed"), "reason")
+    log = with_reject_reason(D.dirty(D.log_orders(spark, sf)).select("key", "value"))
+    return log.select("key", F.col("reject_reason").isNull().alias("parsed"), F.col("reject_reason").alias("reason"))
 
 
 @query("outbox_unwrap", """
@@ -33,12 +35,9 @@ def safe_parse_split(spark: SparkSession, sf: str) -> DataFrame:
 def outbox_unwrap(spark: SparkSession, sf: str) -> DataFrame:
     log = D.enveloped(D.log_orders(spark, sf)).withColumn(
         "value", F.when(D.order_no("key") % 97 == 0, F.lit("heyyy")).otherwise(F.col("value")))
-    read = log.select("key", json_kind(F.col("value")).alias("kind"), unwrap(F.col("value")).alias("doc"))
-    inner = F.coalesce(F.get_json_object("doc", "$.order.orderId"), F.get_json_object("doc", "$.orderId"))
-    return read.select(
-        "key",
-        F.when(F.col("doc").isNull(), "poison").when(F.col("kind") == "STRING", "enveloped").otherwise("flat").alias("form"),
-        inner.alias("order_id"))
+    inner = F.coalesce(F.get_json_object("document", "$.order.orderId"), F.get_json_object("document", "$.orderId"))
+    form = F.when(F.col("document").isNull(), "poison").when(F.col("literal"), "enveloped").otherwise("flat")
+    return unwrap_log(log.select("key", "value")).select("key", form.alias("form"), inner.alias("order_id"))
 
 
 @query("raw_to_typed_orders", """

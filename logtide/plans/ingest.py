@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide import schemas as S
-from logtide.functions.jsontext import reject_reason
 from logtide.operators.claims import offload
-from logtide.operators.decode import block_errors, declare, read_versions, wire_header
+from logtide.operators.decode import block_errors, declare, read_versions, wire_header, with_reject_reason
 from logtide.operators.delivery import outbox_rows, relay
 from logtide.operators.gate import gate_rows
 from logtide.operators.retry import dead_letters
@@ -136,9 +135,9 @@ def continuous_ingest(spark: SparkSession, sf: str) -> DataFrame:
            count(*) FILTER (WHERE order_no % 97 = 0) <= 10 AS within_budget
     FROM f_log_orders GROUP BY ALL""", ("f_log_orders",))
 def error_budget_query(spark: SparkSession, sf: str) -> DataFrame:
-    log = D.dirty(D.log_orders(spark, sf))
+    log = with_reject_reason(D.dirty(D.log_orders(spark, sf)).select("partition", "offset", "value"))
     block = F.struct("partition", F.floor(F.col("offset") / 1000).alias("no"))
-    blocks = block_errors(log, reject_reason(F.col("value")).isNotNull(), block, 10)
+    blocks = block_errors(log, F.col("reject_reason").isNotNull(), block, 10)
     return blocks.select("block.partition", F.col("block.no").alias("block"), "records", "bad_records", "within_budget")
 
 

@@ -78,12 +78,12 @@ def idempotent_batch(store: CommitStore, effects_of, seq: str = "offset", at: st
     follows the batch and not the age of the ledger. ``crash(stage)`` is a test hook.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-        if span.lo is None:
-            store.mark(batch_id)
-            return
-        seen = store.committed("ledger", before=batch_id).filter(F.col("offset").between(span.lo, span.hi))
-        fresh = new_deliveries(distinct_deliveries(batch, seq), seen).persist(StorageLevel.MEMORY_AND_DISK)
+        once = distinct_deliveries(batch, seq).persist(StorageLevel.MEMORY_AND_DISK)
+        span = once.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+        seen = store.committed("ledger", before=batch_id)
+        if span.lo is not None:
+            seen = seen.filter(F.col("offset").between(span.lo, span.hi))
+        fresh = new_deliveries(once, seen).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Sorted by offset so that later batches can skip files and row groups.
             ledger = fresh.select(*DELIVERY, F.col(at).alias("processed_at")).sortWithinPartitions(*DELIVERY)
@@ -97,4 +97,5 @@ def idempotent_batch(store: CommitStore, effects_of, seq: str = "offset", at: st
                 crash("after-marker")
         finally:
             fresh.unpersist()
+            once.unpersist()
     return apply
