@@ -109,7 +109,7 @@ def ledger_antijoin(spark: SparkSession, sf: str) -> DataFrame:
 BATCHES = 3
 
 
-def _effects_schema() -> dict[str, T.StructType]:
+def effects_schema() -> dict[str, T.StructType]:
     return {
         "ledger": LEDGER,
         "payments": T.StructType().add("order_id", "string").add("amount", "double").add("status", "string")
@@ -142,7 +142,7 @@ def payment_effects(fresh: DataFrame) -> dict[str, DataFrame]:
 def batched_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Three micro-batches in which redelivered records come again one batch later."""
     log = D.log_orders(spark, sf)
-    store = CommitStore(spark, scratch_path(spark, "batched"), _effects_schema())
+    store = CommitStore(spark, scratch_path(spark, "batched"), effects_schema())
     apply = idempotent_batch(store, payment_effects, seq="delivery_seq")
     # First copies are dealt over the batches; a second copy comes one batch after its first.
     delivered = D.deliveries(log).withColumn("_b", F.col("offset") % BATCHES + F.col("delivery_seq") - 1)
