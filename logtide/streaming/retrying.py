@@ -41,17 +41,17 @@ class RetryProcessor(StatefulProcessor):
         return pd.DataFrame({"order_id": [order_id], "attempt": [k], "outcome": [outcome], "failure_reason": [reason],
                              "at": [pd.Timestamp(at_ms, unit="ms")]})
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = min(int(chunk["event_ms"].min()) for chunk in rows)
         if not self.progress.exists():
             yield self._run(key[0], 0, first)
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         made, finished = self.progress.get()
         if finished:
             self.progress.clear()
         else:
-            yield self._run(key[0], made, expired_timer_info.getExpiryTimeInMs())
+            yield self._run(key[0], made, expiredTimerInfo.getExpiryTimeInMs())
 
     def close(self) -> None:
         pass

@@ -244,15 +244,14 @@ def test_lines_arrive_by_file(spark, tmp_path):
     assert rows(spark.read.parquet(out)) == sorted([("one",), ("two",), ("three",)], key=repr)
 
 
-def flaky(order_id, attempt):
-    if "permanent-fail" in order_id:
-        return f"rejected {attempt}"
-    if "transient-fail-3" in order_id and attempt < 3:
-        return f"timeout {attempt}"
-    return None
-
-
 def test_retry_stream_waits_in_state(spark, tmp_path):
+    def flaky(order_id, attempt):
+        if "permanent-fail" in order_id:
+            return f"rejected {attempt}"
+        if "transient-fail-3" in order_id and attempt < 3:
+            return f"timeout {attempt}"
+        return None
+
     schema = "order_id string, ts timestamp"
     ids = ["order-normal-1", "order-transient-fail-3", "order-permanent-fail-1"]
     cp, out = str(tmp_path / "cp"), str(tmp_path / "out")
@@ -285,7 +284,7 @@ def test_progress_becomes_metric_samples(spark, orders_log, tmp_path):
     listener = ProgressMetrics()
     spark.streams.addListener(listener)
     try:
-        jobs.drain(read_log(spark, orders_log, streaming=True).groupBy("partition").count(), lambda df, i: None,
+        jobs.drain(read_log(spark, orders_log, streaming=True).groupBy("partition").count(), lambda df, i: df.count(),
                    str(tmp_path / "cp"), "update")
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
