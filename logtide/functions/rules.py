@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 DECLINED_MARK = "payment-declined"
 OUT_OF_STOCK_MARK = "out-of-stock"
 PERMANENT_FAIL_MARK = "permanent-fail"
-TRANSIENT_FAIL_PATTERN = r"transient-fail-(\d+)"
+TRANSIENT_FAIL_PATTERN = r"transient-fail-0*(\d+)"
 OUT_OF_STOCK_REASON = "inventory reservation failed: out of stock"
 DECLINED_OUTCOME = "payment declined, no further steps"
 COMPENSATED_OUTCOME = "compensated: payment refunded after inventory failure"
@@ -30,9 +30,14 @@ def never_succeeds(order_id: Column) -> Column:
 
 
 def attempts_needed(order_id: Column) -> Column:
-    """First attempt at which the downstream call answers; null when it never does."""
-    wanted = F.regexp_extract(order_id, TRANSIENT_FAIL_PATTERN, 1).try_cast("int")
-    return F.when(~never_succeeds(order_id), F.greatest(F.coalesce(wanted, F.lit(1)), F.lit(1)))
+    """First attempt at which the downstream call answers; null when it never does.
+
+    The digits are cast only where there are some and they fit: ``try_cast`` would raise
+    and catch an exception for every id without them.
+    """
+    digits = F.regexp_extract(order_id, TRANSIENT_FAIL_PATTERN, 1)
+    return F.when(~never_succeeds(order_id), F.when(F.length(digits).between(1, 9), F.greatest(digits.cast("int"), F.lit(1)))
+                  .when(F.length(digits) > 9, F.lit(2 ** 31 - 1)).otherwise(F.lit(1)))
 
 
 def scenario(order_id: Column) -> Column:
@@ -47,8 +52,8 @@ def scenario(order_id: Column) -> Column:
 
 def attempt_failure(order_id: Column, attempt: Column) -> Column:
     """Failure text of one downstream attempt, or null when the attempt succeeds."""
-    needed = attempts_needed(order_id)
     n = attempt.cast("string")
+    needed = attempts_needed(order_id)
     return (
         F.when(never_succeeds(order_id),
                F.concat(F.lit("downstream rejected "), order_id, F.lit(" (attempt "), n,

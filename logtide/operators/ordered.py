@@ -24,8 +24,8 @@ def dense_positions(df: DataFrame, groups: list[str], order: list[str], name: st
 
     ``groups`` + ``order`` has to be unique for the numbering to be reproducible. The
     ranged rows are written once: the numbering must not be computed from a second,
-    differently sampled range split. The per-range counts have at most (ranges + groups)
-    rows, so broadcasting them is safe at any data size.
+    differently sampled range split. The per-range counts, also written, have at most
+    (ranges + groups) rows, so broadcasting them is safe at any data size.
     """
     ranged = df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
     rid = F.monotonically_increasing_id()
@@ -36,8 +36,8 @@ def dense_positions(df: DataFrame, groups: list[str], order: list[str], name: st
     )
     counts = tagged.groupBy(*groups, "_range").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *groups, "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    starts = written(counts.select(
+        *groups, "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "ranges")
     return (
         tagged.join(F.broadcast(starts), [*groups, "_range"])
         .withColumn(name, F.col("_row") + F.col("_shift"))
@@ -110,16 +110,21 @@ def chunked_running_max(df: DataFrame, keys: list[str], order: list[str], value:
 
 def chunked_next_known(df: DataFrame, keys: list[str], order: list[str], value: str, chunk: Column,
                        name: str) -> DataFrame:
-    """The first non-null ``value`` at or after each row in its group."""
+    """The first non-null ``value`` at or after each row in its group.
+
+    The windows run backwards with a growing frame, which Spark extends row by row; a
+    frame up to the end of the group would be evaluated anew for every row.
+    """
     cut = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-    after = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    backwards = [F.col(c).desc() for c in order]
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     known_at = F.when(F.col(value).isNotNull(), F.struct(*order))
     carried = (
         cut.groupBy(*keys, "_chunk").agg(F.min_by(value, known_at).alias("_v"))
-        .select(*keys, "_chunk", F.first("_v", ignorenulls=True).over(after).alias("_carried"))
+        .select(*keys, "_chunk", F.last("_v", ignorenulls=True).over(after).alias("_carried"))
     )
-    inner = cut.withColumn("_inside", F.first(value, ignorenulls=True).over(inside))
+    inner = cut.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
     same = [inner[k].eqNullSafe(carried[k]) for k in [*keys, "_chunk"]]
     return inner.join(carried, same, "left").select(
         *[inner[c] for c in df.columns], F.coalesce("_inside", "_carried").alias(name))

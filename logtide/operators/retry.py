@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtide.functions import rules as R
+from logtide.operators.decode import computed_once
 
 
 def retry_plan(df: DataFrame, failure, max_attempts: int = R.MAX_ATTEMPTS,
@@ -14,13 +15,12 @@ def retry_plan(df: DataFrame, failure, max_attempts: int = R.MAX_ATTEMPTS,
     ``failure`` is (key Column, attempt Column) -> failure text or null. Attempts after the
     first success are not made. Attempt k waits base * 2^(k-2) after attempt k-1 failed.
     """
-    attempts = F.transform(
-        F.sequence(F.lit(1), F.lit(max_attempts)),
-        lambda k: F.struct(k.alias("attempt"), failure(F.col(key), k).alias("failure_reason")))
-    # Length of the failing prefix; one more attempt follows it when any is left.
-    first_ok = F.array_position(F.transform(attempts, lambda a: a["failure_reason"].isNull()), True)
-    made = F.when(first_ok > 0, first_ok).otherwise(F.lit(max_attempts)).cast("int")
-    rows = df.withColumn("_a", F.explode(F.slice(attempts, F.lit(1), made))).select(*df.columns, "_a.*")
+    failures = computed_once(df, _failures=F.array(*[failure(F.col(key), F.lit(k)) for k in range(1, max_attempts + 1)]))
+    made = F.lit(max_attempts)
+    for k in range(max_attempts - 1, 0, -1):
+        made = F.when(F.col("_failures")[k - 1].isNull(), k).otherwise(made)
+    exploded = failures.select(*df.columns, F.posexplode(F.slice("_failures", 1, made)).alias("_pos", "failure_reason"))
+    rows = exploded.withColumn("attempt", F.col("_pos") + 1)
     k = F.col("attempt")
     return rows.select(
         *df.columns, "attempt",
@@ -33,24 +33,20 @@ def retry_plan(df: DataFrame, failure, max_attempts: int = R.MAX_ATTEMPTS,
     )
 
 
-def final_outcome(key: Column, max_attempts: int = R.MAX_ATTEMPTS) -> dict[str, Column]:
-    """Closed form of the retry loop under the id-encoded rule: attempts made, exhausted."""
-    needed = R.attempts_needed(key)
-    exhausted = needed.isNull() | (needed > max_attempts)
-    return {
-        "exhausted": exhausted,
-        "attempts": F.when(exhausted, F.lit(max_attempts)).otherwise(needed),
-        "failure_reason": F.when(exhausted, R.attempt_failure(key, F.lit(max_attempts))),
-    }
+def with_final_outcome(df: DataFrame, key: str = "order_id", max_attempts: int = R.MAX_ATTEMPTS) -> DataFrame:
+    """Add ``attempts`` and ``exhausted``: the retry loop in closed form for the id-encoded rule."""
+    needed = computed_once(df, _needed=R.attempts_needed(F.col(key)))
+    exhausted = F.col("_needed").isNull() | (F.col("_needed") > max_attempts)
+    return needed.select(
+        *df.columns, F.when(exhausted, F.lit(max_attempts)).otherwise(F.col("_needed")).alias("attempts"),
+        exhausted.alias("exhausted"))
 
 
 def message_outcomes(orders: DataFrame, max_attempts: int = R.MAX_ATTEMPTS) -> DataFrame:
     """Counter label per message at its end: success (first try), retry, or exhausted."""
-    result = final_outcome(F.col("order_id"), max_attempts)
-    return orders.select(
-        "order_id", result["attempts"].alias("attempts"),
-        F.when(result["exhausted"], "exhausted").when(result["attempts"] == 1, "success")
-        .otherwise("retry").alias("outcome"))
+    return with_final_outcome(orders.select("order_id"), max_attempts=max_attempts).select(
+        "order_id", "attempts",
+        F.when(F.col("exhausted"), "exhausted").when(F.col("attempts") == 1, "success").otherwise("retry").alias("outcome"))
 
 
 def dead_letters(log: DataFrame, order_id: str = "key", max_attempts: int = R.MAX_ATTEMPTS) -> DataFrame:
@@ -59,11 +55,11 @@ def dead_letters(log: DataFrame, order_id: str = "key", max_attempts: int = R.MA
     Declined orders are answers, not failures, and never come here.
     """
     oid = F.col(order_id)
-    result = final_outcome(oid, max_attempts)
-    return log.filter(~R.is_declined(oid) & result["exhausted"]).select(
+    called = with_final_outcome(log.filter(~R.is_declined(oid)), order_id, max_attempts)
+    return called.filter("exhausted").select(
         F.col("topic").alias("original_topic"), F.col("partition").alias("original_partition"),
         F.col("offset").alias("original_offset"), oid.alias("order_id"), F.col("value").alias("order"),
-        result["failure_reason"].alias("failure_reason"), result["attempts"].cast("int").alias("attempts"),
+        R.attempt_failure(oid, F.lit(max_attempts)).alias("failure_reason"), "attempts",
         F.col("timestamp").alias("failed_at"))
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtide.functions import rules as R
-from logtide.operators.retry import final_outcome
+from logtide.operators.decode import with_reject_reason
+from logtide.operators.retry import with_final_outcome
 
 
 def to_payments(orders: DataFrame, at: str = "ts", with_retry: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -19,14 +20,14 @@ def to_payments(orders: DataFrame, at: str = "ts", with_retry: bool = True, extr
     order that exhausts its attempts also becomes a failed payment. ``extra`` columns are
     carried along.
     """
-    oid = F.col("order_id")
-    result = final_outcome(oid)
-    failed = R.is_declined(oid) | (result["exhausted"] if with_retry else F.lit(False))
-    attempts = F.when(R.is_declined(oid), F.lit(1)).otherwise(result["attempts"]) if with_retry else F.lit(1)
-    return orders.select(
+    declined = R.is_declined(F.col("order_id"))
+    done = with_final_outcome(orders) if with_retry else orders.select(
+        "*", F.lit(1).alias("attempts"), F.lit(False).alias("exhausted"))
+    return done.select(
         "order_id", "items", F.col("total").alias("amount"),
-        F.when(failed, "failed").otherwise("succeeded").alias("status"),
-        attempts.cast("int").alias("attempts"), F.col(at).alias("processed_at"), *extra)
+        F.when(declined | F.col("exhausted"), "failed").otherwise("succeeded").alias("status"),
+        F.when(declined, F.lit(1)).otherwise(F.col("attempts")).alias("attempts"),
+        F.col(at).alias("processed_at"), *extra)
 
 
 def _paid(payments: DataFrame) -> DataFrame:
@@ -155,16 +156,28 @@ def saga_story(steps: DataFrame) -> DataFrame:
         "order_id", (F.col("_p") + 1).alias("story_no"), "_e.step", "_e.at")
 
 
-def stage_funnel(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
-    """(stage_no, stage, records, dropped) from one pass over the records.
+def stage_funnel(df: DataFrame, stages: list[tuple[str, Column, str | None]]) -> DataFrame:
+    """(stage_no, stage, records, dropped, drop_reason) from one pass over the records.
 
-    ``stages`` maps a stage to the condition that a record reached it; ``dropped`` counts
-    against the stage before.
+    ``stages`` lists (stage, condition that a record reached it, why others did not);
+    ``dropped`` counts against the stage before.
     """
-    counts = df.agg(*[F.count_if(c).alias(f"_n{i}") for i, c in enumerate(stages.values())])
+    counts = df.agg(*[F.count_if(reached).alias(f"_n{i}") for i, (_, reached, _) in enumerate(stages)])
     rows = F.array(*[
         F.struct(F.lit(i).alias("stage_no"), F.lit(name).alias("stage"), F.col(f"_n{i}").alias("records"),
-                 (F.col(f"_n{i - 1}") - F.col(f"_n{i}") if i else F.lit(0).cast("bigint")).alias("dropped"))
-        for i, name in enumerate(stages)
+                 (F.col(f"_n{i - 1}") - F.col(f"_n{i}") if i else F.lit(0).cast("bigint")).alias("dropped"),
+                 F.lit(reason).cast("string").alias("drop_reason"))
+        for i, (name, _, reason) in enumerate(stages)
     ])
     return counts.select(F.inline(rows))
+
+
+def chain_funnel(log: DataFrame) -> DataFrame:
+    """Funnel of an orders log through the chain; ``value`` holds the order JSON."""
+    read = with_final_outcome(with_reject_reason(log.select("key", "value")), "key")
+    oid, parsed = F.col("key"), F.col("reject_reason").isNull()
+    paid = parsed & ~R.is_declined(oid) & ~F.col("exhausted")
+    reserved = paid & ~R.is_out_of_stock(oid)
+    return stage_funnel(read, [
+        ("received", F.lit(True), None), ("parsed", parsed, "not JSON"), ("paid", paid, "payment failed"),
+        ("reserved", reserved, "out of stock"), ("shipped", reserved, None)])

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide.functions import rules as R
 from logtide.operators import stages as G
-from logtide.operators.decode import with_reject_reason
-from logtide.operators.retry import final_outcome, message_outcomes, retry_plan
+from logtide.operators.retry import message_outcomes, retry_plan
 from logtide.plans import derived as D
 from logtide.plans.registry import query
 
@@ -149,22 +148,16 @@ def retry_outcomes(spark: SparkSession, sf: str) -> DataFrame:
                    count(*) FILTER (WHERE order_no % 97 <> 0 AND status = 'succeeded') AS paid,
                    count(*) FILTER (WHERE order_no % 97 <> 0 AND status = 'succeeded' AND scenario <> 'out-of-stock') AS kept
             FROM f_payments)
-    SELECT 0 AS stage_no, 'received' AS stage, o AS records, 0::BIGINT AS dropped FROM c
-    UNION ALL SELECT 1, 'parsed', good, o - good FROM c
-    UNION ALL SELECT 2, 'paid', paid, good - paid FROM c
-    UNION ALL SELECT 3, 'reserved', kept, paid - kept FROM c
-    UNION ALL SELECT 4, 'shipped', kept, 0 FROM c""", ("f_payments",))
+    SELECT 0 AS stage_no, 'received' AS stage, o AS records, 0::BIGINT AS dropped, NULL::VARCHAR AS drop_reason FROM c
+    UNION ALL SELECT 1, 'parsed', good, o - good, 'not JSON' FROM c
+    UNION ALL SELECT 2, 'paid', paid, good - paid, 'payment failed' FROM c
+    UNION ALL SELECT 3, 'reserved', kept, paid - kept, 'out of stock' FROM c
+    UNION ALL SELECT 4, 'shipped', kept, 0, NULL FROM c""", ("f_payments",))
 def stage_funnel_query(spark: SparkSession, sf: str) -> DataFrame:
     """Counts along the chain, starting from a log with poison records."""
     received = D.log_orders(spark, sf).withColumn(
         "value", F.when(D.order_no("key") % 97 == 0, F.lit("heyyy")).otherwise(F.col("value")))
-    read = with_reject_reason(received.select("key", "value"))
-    oid = F.col("key")
-    parsed = F.col("reject_reason").isNull()
-    paid = parsed & ~R.is_declined(oid) & ~final_outcome(oid)["exhausted"]
-    reserved = paid & ~R.is_out_of_stock(oid)
-    return G.stage_funnel(read, {
-        "received": F.lit(True), "parsed": parsed, "paid": paid, "reserved": reserved, "shipped": reserved})
+    return G.chain_funnel(received)
 
 
 STAGES = ["orders", "payments", "inventory", "shipping"]

@@ -11,23 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from logtide.functions import rules as R
+from logtide.functions.jsontext import json_literal
 from logtide.operators.stages import refund_events, to_compensation, to_payments, to_refunds
-from logtide.session import written
 from logtide.sinks.log import place, to_log
 from logtide.sources.tables import table
 
 PARTITIONS = 3
 SCENARIOS = ("happy", "payment-declined", "out-of-stock", "transient-fail-3", "permanent-fail")
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_logs: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """The written form of a derived log, built at its first use in this application."""
+    """A derived log, written at its first use in this application and scanned after that."""
     slot = (spark.sparkContext.applicationId, sf, name)
-    if slot not in _written:
-        _written[slot] = written(build(), name, ("topic",))
-    return _written[slot]
+    if slot not in _logs:
+        _logs[slot] = build()
+    return _logs[slot]
 
 
 def order_no(order_id: str = "order_id") -> Column:
@@ -111,8 +111,6 @@ def log_payments(spark: SparkSession, sf: str) -> DataFrame:
 
 def enveloped(log: DataFrame) -> DataFrame:
     """Double-encoded values as a relay of a text column publishes them; every 11th is old flat JSON."""
-    from logtide.functions.jsontext import json_literal
-
     inner = F.concat(F.lit('{"type":"OrderCreated","order":'), F.col("value"), F.lit("}"))
     return log.withColumn("value", F.when(order_no("key") % 11 == 0, F.col("value")).otherwise(json_literal(inner)))
 

@@ -6,13 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide.schemas import ENVELOPE
 
-# Kafka gives headers as an array of structs with binary values.
+# Kafka gives headers as an array of structs with binary values; keys may repeat, the last wins.
+_HEADERS = """
+    map_from_entries(transform(
+        filter(headers, (h, i) -> NOT exists(slice(headers, i + 2, size(headers)), later -> later.key = h.key)),
+        h -> struct(h.key, CAST(h.value AS STRING))))"""
 _FROM_KAFKA = [
     "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "topic", "partition", "offset", "timestamp",
-    "map_from_entries(transform(coalesce(headers, array()), h -> struct(h.key, CAST(h.value AS STRING)))) AS headers",
+    f"coalesce({_HEADERS}, CAST(map() AS MAP<STRING, STRING>)) AS headers",
 ]
 
 
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Records as the Kafka source gives them, in the envelope schema."""
+    return records.selectExpr(*_FROM_KAFKA)
+
+
 def kafka_options(servers: str, topics: list[str], starting: str = "earliest", max_per_trigger: int | None = None,
                   min_per_trigger: int | None = None, max_delay: str | None = None,
                   min_partitions: int | None = None) -> dict[str, str]:
@@ -28,7 +37,7 @@ def kafka_options(servers: str, topics: list[str], starting: str = "earliest", m
 def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
     """Topics in the envelope schema; needs the Kafka connector on the classpath."""
     reader = spark.readStream if streaming else spark.read
-    return reader.format("kafka").options(**options).load().selectExpr(*_FROM_KAFKA)
+    return from_kafka(reader.format("kafka").options(**options).load())
 
 
 def read_log(spark: SparkSession, path: str, topics: list[str] | None = None, streaming: bool = False,

@@ -74,7 +74,7 @@ class LatestTable:
     """Materialised latest values per key, kept as per-batch folds over a ``CommitStore``.
 
     A batch adds one small row per key and column that it touched; reading folds those
-    again. ``compact`` replaces the history by one folded batch.
+    again, so the table grows with the keys touched per batch, not with the records.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, values: dict[str, T.DataType]):

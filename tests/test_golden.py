@@ -18,7 +18,7 @@ from logtide.sinks.log import kafka_rows, place, to_log
 from logtide.sinks.tables import gated_append, read_evolved, write_clustered, write_with_quarantine
 from logtide.sources.files import read_blobs, read_lines
 from logtide.sources.incremental import incremental_read, jdbc_incremental_options, next_mark
-from logtide.sources.log import kafka_options
+from logtide.sources.log import from_kafka, kafka_options
 
 UTC = dt.timezone.utc
 T0 = dt.datetime(2026, 1, 1, tzinfo=UTC)
@@ -451,6 +451,26 @@ def test_publish_keeps_per_key_order_and_replaceable_partitioner(spark):
         "struct<key:string,value:string,topic:string,headers:array<struct<key:string,value:binary>>>")
 
 
+def test_funnel_17_16_15_15(spark):
+    ids = [f"order-{i}" for i in range(15)] + ["order-payment-declined-9"]
+    log = spark.createDataFrame([(i, "{}") for i in ids] + [(None, "heyyy")], "key string, value string")
+    funnel = stages.chain_funnel(log)
+    assert rows(funnel, "stage_no", "records") == [(0, 17), (1, 16), (2, 15), (3, 15), (4, 15)]
+    assert rows(funnel.filter("dropped > 0"), "stage", "dropped", "drop_reason") == [
+        ("paid", 1, "payment failed"), ("parsed", 1, "not JSON")]
+
+
+def test_kafka_records_become_envelopes(spark):
+    source = spark.createDataFrame(
+        [(bytearray(b"k"), bytearray(b"v"), "t", 1, 5, T0, 0, [("a", bytearray(b"1")), ("b", None), ("a", bytearray(b"2"))]),
+         (None, bytearray(b"v"), "t", 1, 6, T0, 0, None)],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int, "
+        "headers array<struct<key:string,value:binary>>")
+    log = from_kafka(source)
+    assert log.schema.simpleString() == S.ENVELOPE.simpleString()
+    assert [(r.key, r.offset, r.headers) for r in log.collect()] == [("k", 5, {"a": "2", "b": None}), (None, 6, {})]
+
+
 def test_kafka_options():
     opts = kafka_options("h:1", ["a", "b"], max_per_trigger=5000, min_partitions=12)
     assert opts["subscribe"] == "a,b" and opts["startingOffsets"] == "earliest"
