@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtide.operators.ordered import chunked_lag, chunked_running_max, time_chunk, trailing_sum
+from logtide.session import written
 
 
 def log_ends(log: DataFrame) -> DataFrame:
@@ -52,12 +53,14 @@ def alert_states(samples: DataFrame, series: list[str], condition: Column, hold_
     """``inactive`` / ``pending`` / ``firing`` at each evaluation of a sustained condition.
 
     The streak starts at the first true evaluation after a false one; the alert fires once
-    it has lasted ``hold_seconds``.
+    it has lasted ``hold_seconds``. The two ordered steps each read their input twice, for
+    the rows and for the chunk borders, so each input is written first: chained lazily,
+    they would repeat the whole plan under them four times.
     """
-    checked = samples.withColumn("_on", F.coalesce(condition, F.lit(False)))
+    checked = written(samples.withColumn("_on", F.coalesce(condition, F.lit(False))), "alert-checks")
     lagged = chunked_lag(checked, series, [ts], ["_on"], time_chunk(ts), "_prev")
-    starts = lagged.withColumn(
-        "_start", F.when(F.col("_on") & ~F.coalesce(F.col("_prev_on"), F.lit(False)), F.col(ts)))
+    starts = written(lagged.withColumn(
+        "_start", F.when(F.col("_on") & ~F.coalesce(F.col("_prev_on"), F.lit(False)), F.col(ts))), "alert-starts")
     streaks = chunked_running_max(starts, series, [ts], "_start", time_chunk(ts), "_since")
     held = (F.unix_micros(ts) - F.unix_micros("_since")) >= F.lit(hold_seconds * 1_000_000)
     return streaks.select(

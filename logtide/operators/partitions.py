@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import lcm
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtide.functions.hashing import murmur2, partition_for, placement, salted
 
@@ -27,17 +27,17 @@ def partition_distribution(log: DataFrame, partitions: int, partition: str = "pa
     """
     counts = log.groupBy(F.col(partition).cast("bigint").alias("partition")).agg(F.count("*").alias("n"))
     every = log.sparkSession.range(partitions).select(F.col("id").alias("partition"))
-    n = F.coalesce(F.col("n"), F.lit(0).cast("bigint"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))).scalar()
+    loads = every.join(counts, "partition", "left").select(
+        "partition", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("records"))
+    # One row per partition of the topic, so a window over all of them is small.
+    topic = Window.partitionBy(F.lit(0))
+    total = F.sum("records").over(topic)
     # Largest count first, lowest partition number among equals.
-    worst = counts.agg(F.max_by("partition", F.struct("n", (-F.col("partition")).alias("p")))).scalar()
-    share = F.when(total > 0, n / total).otherwise(F.lit(0.0))
-    return (
-        every.join(counts, "partition", "left")
-        .select("partition", n.alias("records"), share.alias("share"))
-        .select("*", (F.col("share") > healthy_share).alias("over_healthy"),
-                F.coalesce(F.col("partition") == worst, F.lit(False)).alias("is_worst"))
-    )
+    worst = F.max(F.struct("records", (-F.col("partition")).alias("p"))).over(topic)
+    share = F.when(total > 0, F.col("records") / total).otherwise(F.lit(0.0))
+    return loads.select("partition", "records", share.alias("share"), (-worst["p"]).alias("_worst"), total.alias("_t")).select(
+        "partition", "records", "share", (F.col("share") > healthy_share).alias("over_healthy"),
+        ((F.col("partition") == F.col("_worst")) & (F.col("_t") > 0)).alias("is_worst"))
 
 
 def key_counts(df: DataFrame, key: str, window: Column | None = None) -> DataFrame:

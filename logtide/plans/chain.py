@@ -71,24 +71,24 @@ def saga_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chain_events(spark: SparkSession, sf: str) -> DataFrame:
-    """All events of all topics as (order_id, topic, status); orders on the way have few of them."""
-    orders, paid = D.orders(spark, sf), D.payments(spark, sf)
-    reserved = G.to_inventory(paid)
-    none = F.lit(None).cast("string").alias("status")
-    dead = orders.filter(R.never_succeeds(F.col("order_id")) & ~R.is_declined(F.col("order_id")))
-    parts = [
-        orders.select("order_id", F.lit("orders").alias("topic"), none),
-        paid.select("order_id", F.lit("payments").alias("topic"), "status"),
-        D.refunds(spark, sf).select("order_id", F.lit("payments").alias("topic"), F.lit("refunded").alias("status")),
-        dead.select("order_id", F.lit("payments-dlq").alias("topic"), none),
-        reserved.select("order_id", F.lit("inventory").alias("topic"), none),
+    """All events of all topics as (order_id, topic, status), from one pass over the orders."""
+    oid, status = F.col("order_id"), F.col("status")
+    paid = status == "succeeded"
+    reserved = paid & ~R.is_out_of_stock(oid)
+
+    def event(topic: str, text, happened):
+        return F.struct(F.lit(topic).alias("topic"), text.cast("string").alias("status"), happened.alias("happened"))
+
+    none = F.lit(None)
+    events = F.array(
+        event("orders", none, F.lit(True)),
+        event("payments", status, F.lit(True)),
+        event("payments", F.lit("refunded"), paid & R.is_out_of_stock(oid)),
+        event("payments-dlq", none, ~paid & ~R.is_declined(oid)),
+        event("inventory", none, reserved),
         # The last hop is still running: every 41st reserved order has not been shipped yet.
-        G.to_shipping(reserved).filter(D.order_no() % 41 != 0).select("order_id", F.lit("shipping").alias("topic"), none),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        event("shipping", none, reserved & (D.order_no() % 41 != 0)))
+    return D.payments(spark, sf).select("order_id", F.inline(events)).filter("happened").drop("happened")
 
 
 @query("saga_terminal", """
