@@ -26,24 +26,33 @@ def redeem(refs: DataFrame, blobs: DataFrame) -> DataFrame:
         F.when(F.col("actual_checksum").isNull(), "MISSING").when(same, "OK").otherwise("MISMATCH").alias("status"))
 
 
+def classify(df: DataFrame, content: str, max_bytes: int, record_limit: int = MAX_RECORD_BYTES) -> DataFrame:
+    """Add ``bytes``, ``kind`` and, for references, the ``checksum`` of the payload.
+
+    ``reference`` payloads are over ``max_bytes`` and leave the log; ``rejected`` ones
+    would stay but are over the broker's record limit, which is possible only when
+    ``max_bytes`` is above it; all others are ``inline``.
+    """
+    size = F.octet_length(content).cast("bigint")
+    large = size > max_bytes
+    kind = F.when(large, "reference").when(size > record_limit, "rejected").otherwise("inline")
+    return df.select("*", size.alias("bytes"), kind.alias("kind"), F.when(large, F.sha2(content, 256)).alias("checksum"))
+
+
 def offload(df: DataFrame, key: str, content: str, event_id: Column, bucket: str, content_type: str,
             max_bytes: int, record_limit: int = MAX_RECORD_BYTES) -> dict[str, DataFrame]:
-    """Split records by payload size.
+    """The frames to write for each kind: ``inline``, ``rejected``, ``blobs`` and ``references``.
 
-    ``inline`` stays in the log; ``blobs`` (key, content) and ``references`` replace the
-    payloads over ``max_bytes``; ``rejected`` would stay inline but is over the broker's
-    record limit, which is possible only when ``max_bytes`` is above it.
+    ``blobs`` (key, content) and ``references`` (key, value) replace the large payloads.
     """
-    size = F.octet_length(content)
-    large = df.filter(size > max_bytes)
-    small = df.filter(size <= max_bytes)
+    parts = classify(df, content, max_bytes, record_limit)
+    large = parts.filter("kind = 'reference'")
     reference = F.to_json(F.struct(
         event_id.alias("eventId"), F.lit(bucket).alias("bucket"), F.col(key).alias("key"),
-        size.cast("bigint").alias("sizeBytes"), F.sha2(content, 256).alias("checksum"),
-        F.lit(content_type).alias("contentType")))
+        F.col("bytes").alias("sizeBytes"), "checksum", F.lit(content_type).alias("contentType")))
     return {
-        "inline": small.filter(size <= record_limit),
-        "rejected": small.filter(size > record_limit),
+        "inline": parts.filter("kind = 'inline'").select(*df.columns),
+        "rejected": parts.filter("kind = 'rejected'").select(*df.columns),
         "blobs": large.select(F.col(key).alias("key"), F.col(content).alias("content")),
         "references": large.select(F.col(key).alias("key"), reference.alias("value")),
     }

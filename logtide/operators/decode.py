@@ -97,17 +97,23 @@ PAYMENT_PATHS = {
 
 def read_versions(log: DataFrame, schemas: dict[int, T.StructType], version: str = "schema_id",
                   value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Records of several schema versions read together.
+    """Records of several schema versions read together, in one pass.
 
-    Each version is decoded with the schema it was written with; columns that a version
-    lacks are null.
+    Each record is decoded with the schema it was written with. Columns that its version
+    lacks are null; a column whose type changed gets the type of the newest version.
     """
-    parts = [
-        log.filter(F.col(version) == sid).withColumn("_v", J.typed(F.col(value), schema))
-        .filter(F.col("_v").isNotNull()).select(*keep, F.col(version), "_v.*")
-        for sid, schema in sorted(schemas.items())
+    ordered = sorted(schemas.items())
+    decoded = computed_once(log.filter(F.col(version).isin(list(schemas))), **{
+        f"_v{sid}": F.when(F.col(version) == sid, J.typed(F.col(value), schema)) for sid, schema in ordered})
+    newest: dict[str, T.DataType] = {}
+    for _, schema in ordered:
+        newest.update({f.name: f.dataType for f in schema.fields})
+    fields = [
+        F.coalesce(*[F.col(f"_v{sid}.{name}").cast(kind) for sid, schema in ordered if name in schema.fieldNames()]).alias(name)
+        for name, kind in newest.items()
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    readable = reduce(lambda a, b: a | b, [F.col(f"_v{sid}").isNotNull() for sid, _ in ordered])
+    return decoded.filter(readable).select(*keep, version, *fields)
 
 
 def wire_header(df: DataFrame, body: str = "body") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide import schemas as S
-from logtide.operators.claims import offload
+from logtide.operators.claims import classify
 from logtide.operators.decode import block_errors, declare, read_versions, wire_header, with_reject_reason
 from logtide.operators.delivery import outbox_rows, relay
 from logtide.operators.gate import gate_rows
@@ -257,14 +257,5 @@ def codec_footprint_query(spark: SparkSession, sf: str) -> DataFrame:
     FROM documents""")
 def claim_check_offload(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select(
-        "doc_id", F.concat(F.lit("attachments/"), F.col("doc_id").cast("string")).alias("key"), "text")
-    parts = offload(d, "key", "text", F.concat(F.lit("event-"), F.col("doc_id").cast("string")), "attachments",
-                    "text/plain", max_bytes=2000)
-    kept = parts["inline"].select("key", F.lit("inline").alias("kind"), F.octet_length("text").cast("bigint").alias("bytes"),
-                                  F.lit(None).cast("string").alias("checksum"))
-    refused = parts["rejected"].select("key", F.lit("rejected").alias("kind"),
-                                       F.octet_length("text").cast("bigint").alias("bytes"),
-                                       F.lit(None).cast("string").alias("checksum"))
-    refs = parts["references"].withColumn("r", F.from_json("value", S.ATTACHMENT)).select(
-        "key", F.lit("reference").alias("kind"), F.col("r.sizeBytes").alias("bytes"), F.col("r.checksum").alias("checksum"))
-    return kept.unionByName(refused).unionByName(refs)
+        F.concat(F.lit("attachments/"), F.col("doc_id").cast("string")).alias("key"), "text")
+    return classify(d, "text", max_bytes=2000).select("key", "kind", "bytes", "checksum")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtide.operators.decode import parse_split
 from logtide.operators.gate import GateReport, evolve, require_compatible
@@ -26,14 +26,16 @@ def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: lis
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
-def gated_append(df: DataFrame, path: str, defaults: frozenset[str] = frozenset()) -> GateReport:
+def gated_append(df: DataFrame, path: str, table: T.StructType | None = None,
+                 defaults: frozenset[str] = frozenset()) -> GateReport:
     """Append only what readers of the table's current schema rules allow.
 
     A breaking change raises before anything is written. New nullable columns evolve the
-    table; columns the batch lacks are written as nulls.
+    table; columns the batch lacks are written as nulls. Give the ``table`` schema where it
+    is known: finding it from the files reads the footer of every one.
     """
     spark: SparkSession = df.sparkSession
-    current = spark.read.option("mergeSchema", "true").parquet(path).schema
+    current = table or read_evolved(spark, path).schema
     report = require_compatible(current, df.schema, defaults)
     evolve(df, current).write.mode("append").parquet(path)
     return report

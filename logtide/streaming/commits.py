@@ -2,8 +2,9 @@
 
 A micro-batch writes each of its tables into ``<root>/<table>/batch_id=N`` and then a
 marker into ``<root>/commits/batch_id=N``. Readers keep marked batches only. A batch that
-is retried after a crash has the same id and overwrites its own folders, so its effects
-happen once; folders without a marker belong to an attempt that never committed.
+is retried after a crash has the same id: with a marker it is skipped, without one it
+overwrites its own folders, so its effects happen once. Folders without a marker belong
+to an attempt that never committed.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ class CommitStore:
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
+    def is_committed(self, batch_id: int) -> bool:
+        return not self.commits().filter(F.col("batch_id") == batch_id).isEmpty()
+
     def commit(self, batch_id: int, tables: dict[str, DataFrame]) -> None:
         """Write all tables of a batch, then its marker. The marker is the commit point."""
         for name, df in tables.items():
@@ -78,6 +82,8 @@ def idempotent_batch(store: CommitStore, effects_of, seq: str = "offset", at: st
     follows the batch and not the age of the ledger. ``crash(stage)`` is a test hook.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if store.is_committed(batch_id):
+            return  # retried although its marker was written: leave readers undisturbed
         once = distinct_deliveries(batch, seq).persist(StorageLevel.MEMORY_AND_DISK)
         span = once.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
         seen = store.committed("ledger", before=batch_id)

@@ -100,6 +100,8 @@ class LatestTable:
     def batch_writer(self):
         """``foreachBatch`` function over rows (key, partition, offset, values...)."""
         def write(batch: DataFrame, batch_id: int) -> None:
+            if self.store.is_committed(batch_id):
+                return
             rows = batch.select(self.key, F.col("partition").alias("part"), F.col("offset").alias("off"), *self.values)
             self.store.commit(batch_id, {"latest": self._fold(rows)})
         return write

@@ -207,6 +207,20 @@ def test_batches_are_bounded(spark, orders_log, tmp_path):
     assert len(sizes) > 1 and sum(sizes) == read_log(spark, orders_log).count()
 
 
+def test_follow_takes_new_files_until_stopped(spark, sf, tmp_path):
+    log = D.log_orders(spark, sf)
+    path, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    append_log(log.filter("offset < 50"), path)
+    query = jobs.follow(read_log(spark, path, streaming=True), out, str(tmp_path / "cp"), every="1 second", name="follower")
+    try:
+        query.processAllAvailable()
+        append_log(log.filter("offset >= 50"), path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == log.count()
+
+
 def test_recent_distinct_drops_redeliveries(spark, orders_log, tmp_path):
     log = read_log(spark, orders_log)
     stream = jobs.recent_distinct(stream_of(spark, log.unionByName(log.filter("offset % 7 = 0")), tmp_path / "in", 1),
