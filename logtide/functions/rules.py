@@ -13,6 +13,8 @@ OUT_OF_STOCK_REASON = "inventory reservation failed: out of stock"
 DECLINED_OUTCOME = "payment declined, no further steps"
 COMPENSATED_OUTCOME = "compensated: payment refunded after inventory failure"
 COMPLETED_OUTCOME = "completed"
+REJECTED_TEXT = "downstream rejected %s (attempt %d) — simulated permanent outage"
+TIMEOUT_TEXT = "downstream timeout for %s (attempt %d/%d)"
 MAX_ATTEMPTS = 3
 BASE_BACKOFF_MS = 200
 
@@ -52,15 +54,10 @@ def scenario(order_id: Column) -> Column:
 
 def attempt_failure(order_id: Column, attempt: Column) -> Column:
     """Failure text of one downstream attempt, or null when the attempt succeeds."""
-    n = attempt.cast("string")
     needed = attempts_needed(order_id)
     return (
-        F.when(never_succeeds(order_id),
-               F.concat(F.lit("downstream rejected "), order_id, F.lit(" (attempt "), n,
-                        F.lit(") — simulated permanent outage")))
-        .when(attempt < needed,
-              F.concat(F.lit("downstream timeout for "), order_id, F.lit(" (attempt "), n, F.lit("/"),
-                       needed.cast("string"), F.lit(")")))
+        F.when(never_succeeds(order_id), F.format_string(REJECTED_TEXT, order_id, attempt))
+        .when(attempt < needed, F.format_string(TIMEOUT_TEXT, order_id, attempt, needed))
     )
 
 

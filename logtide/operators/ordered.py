@@ -24,8 +24,9 @@ def dense_positions(df: DataFrame, groups: list[str], order: list[str], name: st
 
     ``groups`` + ``order`` has to be unique for the numbering to be reproducible. The
     ranged rows are written once: the numbering must not be computed from a second,
-    differently sampled range split. The per-range counts, also written, have at most
-    (ranges + groups) rows, so broadcasting them is safe at any data size.
+    differently sampled range split. The per-range counts have at most (ranges + groups)
+    rows; they are written too, so that Spark knows their real size when it decides
+    whether to broadcast them.
     """
     ranged = df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
     rid = F.monotonically_increasing_id()
@@ -39,7 +40,7 @@ def dense_positions(df: DataFrame, groups: list[str], order: list[str], name: st
     starts = written(counts.select(
         *groups, "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "ranges")
     return (
-        tagged.join(F.broadcast(starts), [*groups, "_range"])
+        tagged.join(starts, [*groups, "_range"])
         .withColumn(name, F.col("_row") + F.col("_shift"))
         .drop("_rid", "_range", "_row", "_shift")
         .select(*df.columns, name)

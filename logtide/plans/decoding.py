@@ -16,7 +16,6 @@ from logtide.operators.partitions import salt_keys
 from logtide.plans import derived as D
 from logtide.plans.oracle import murmur2 as murmur2_sql, partition as partition_sql
 from logtide.plans.registry import query
-from logtide.sources.tables import table
 
 
 @query("safe_parse_split", """

@@ -47,14 +47,19 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def full_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their items. An order is one record, so its items fit in one row."""
-    items = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_no")).agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))).alias("_l"))
-    item = F.transform("_l", lambda x: F.struct(
-        F.concat(F.lit("sku-"), x["l_partkey"].cast("string")).alias("sku"), x["l_quantity"].cast("int").alias("qty")))
+    """Orders with their items. An order is one record, so its items fit in one row.
+
+    Lines are dealt by order before they are collected: collecting reduces nothing, so a
+    first round inside the scan tasks would only sort the lines once more.
+    """
+    item = F.struct(F.concat(F.lit("sku-"), F.col("l_partkey").cast("string")).alias("sku"),
+                    F.col("l_quantity").cast("int").alias("qty"))
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_no"), F.struct("l_linenumber", "l_partkey", "l_quantity", item.alias("item")).alias("_l"))
+    items = lines.repartition("order_no").groupBy("order_no").agg(F.sort_array(F.collect_list("_l")).alias("_l"))
     none = F.array().cast("array<struct<sku:string,qty:int>>")
     return orders(spark, sf).join(items, "order_no", "left").select(
-        "order_no", "order_id", "customer_id", F.coalesce(item, none).alias("items"), "total", "status", "ts")
+        "order_no", "order_id", "customer_id", F.coalesce(F.col("_l.item"), none).alias("items"), "total", "status", "ts")
 
 
 def order_json() -> Column:
@@ -205,6 +210,20 @@ def metrics(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type"), F.sum("n").over(epoch).cast("double").alias("value"))
 
 
+def service_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly samples of two counters of the payment service, which restarts every day."""
+    paid = payments(spark, sf)
+    dead = (F.col("status") == "failed") & ~R.is_declined(F.col("order_id"))
+    back = (F.col("status") == "succeeded") & R.is_out_of_stock(F.col("order_id"))
+    name = F.when(dead, "dlq_messages_total").when(back, "compensations_total")
+    hour = F.floor(F.unix_seconds("processed_at") / 3600)
+    hourly = paid.select(name.alias("name"), hour.alias("hour")).filter(F.col("name").isNotNull()).groupBy("name", "hour").agg(
+        F.count("*").alias("n"))
+    day = Window.partitionBy("name", F.floor(F.col("hour") / 24)).orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
+    return hourly.select(F.timestamp_seconds(F.col("hour") * 3600).alias("ts"), "name",
+                         F.lit("payment-service").alias("service"), F.sum("n").over(day).cast("double").alias("value"))
+
+
 def spans(spark: SparkSession, sf: str) -> DataFrame:
     """Four spans per happy order, one second long, with growing gaps; every 200th order lost its root."""
     happy = orders(spark, sf).filter(F.col("order_id").contains("happy"))

@@ -37,6 +37,21 @@ def counter_rate_query(spark: SparkSession, sf: str) -> DataFrame:
     return O.counter_rate(D.metrics(spark, sf), SERIES, 3600, ["event_type"]).withColumn("rate", F.round("rate", 8))
 
 
+@query("service_rates", """
+    , hourly AS (SELECT CASE scenario WHEN 'permanent-fail' THEN 'dlq_messages_total' ELSE 'compensations_total' END AS name,
+                        CAST(floor(epoch(paid_at) / 3600) AS BIGINT) AS hour, count(*) AS n
+                 FROM f_payments WHERE scenario IN ('permanent-fail', 'out-of-stock') GROUP BY ALL),
+    samples AS (SELECT name, hour, sum(n) OVER (PARTITION BY name, hour // 24 ORDER BY hour) AS value FROM hourly),
+    deltas AS (SELECT *, lag(value) OVER (PARTITION BY name ORDER BY hour) AS before FROM samples)
+    SELECT name, 'payment-service' AS service, make_timestamp(hour // 24 * 86400000000) AS window_start,
+           round(sum(CASE WHEN before IS NULL THEN 0 WHEN value < before THEN value ELSE value - before END) / 86400, 8) AS rate
+    FROM deltas GROUP BY ALL""", ("f_payments",))
+def service_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rates of dead letters and compensations by service."""
+    keys = ["name", "service"]
+    return O.counter_rate(D.service_counters(spark, sf), keys, 86_400, keys).withColumn("rate", F.round("rate", 8))
+
+
 @query("counter_increase", "SELECT event_type, ts, value, increase FROM f_increase", ("f_increase",))
 def counter_increase_query(spark: SparkSession, sf: str) -> DataFrame:
     return O.counter_increase(D.metrics(spark, sf), SERIES, 300).select("event_type", "ts", "value", "increase")

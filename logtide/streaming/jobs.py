@@ -32,6 +32,28 @@ def follow(stream: DataFrame, sink, checkpoint: str, every: str = "10 seconds",
     return (writer.foreachBatch(sink) if callable(sink) else writer.format("parquet").option("path", sink)).start()
 
 
+def push(stream: DataFrame, limit: int, path: str, checkpoint: str, every: str = "1 second") -> None:
+    """Push query with a LIMIT: emit results as they come and stop once ``limit`` rows are out.
+
+    Every batch is computed whole, as stateful streams require, and cut when it is written.
+    """
+    left = limit
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        nonlocal left
+        batch.persist()
+        size = batch.count()
+        if left > 0 and size > 0:
+            batch.limit(left).write.mode("append").parquet(path)
+            left -= min(size, left)
+        batch.unpersist()
+
+    query = follow(stream, emit, checkpoint, every)
+    while left > 0 and not query.awaitTermination(1):
+        pass
+    query.stop()
+
+
 def typed_events(events: DataFrame) -> DataFrame:
     """The typed columns of the analytics table from raw events with an epoch-ms time."""
     at = F.timestamp_millis("event_time")

@@ -1,15 +1,12 @@
 """Streams: same results as batch, restart, crash windows, replay, late data, bounded batches."""
 
 import datetime as dt
-import json
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import rows
-from logtide import schemas as S
-from logtide.functions import rules as R
 from logtide.operators import delivery as V, retry, stages
 from logtide.operators.joins import interval_join
 from logtide.plans import derived as D
@@ -221,6 +218,12 @@ def test_follow_takes_new_files_until_stopped(spark, sf, tmp_path):
     assert spark.read.parquet(out).count() == log.count()
 
 
+def test_push_query_stops_at_its_limit(spark, orders_log, tmp_path):
+    stream = read_log(spark, orders_log, streaming=True, max_files_per_trigger=1).select("key", "offset")
+    jobs.push(stream, 40, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
 def test_recent_distinct_drops_redeliveries(spark, orders_log, tmp_path):
     log = read_log(spark, orders_log)
     stream = jobs.recent_distinct(stream_of(spark, log.unionByName(log.filter("offset % 7 = 0")), tmp_path / "in", 1),
