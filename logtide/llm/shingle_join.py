@@ -7,7 +7,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from logtide.llm.common import WordHasher, connected_components, mix64, shingle_set
 from logtide.operators.ordered import dense_positions
@@ -18,7 +18,6 @@ PERCENT = 80
 BUCKET_SHINGLES = 2_000_000
 FLUSH_SHINGLES = 2_000_000
 FILTER_BITS = 1 << 23
-COMMON_LISTS = 1 << 16
 BLOCK = 512
 MU = 0.0085  # cost of a probe against a merge step, from the DivideSkip paper
 MULTI = np.uint32(0xFFFFFFFF)
@@ -94,8 +93,9 @@ def _flush(ids: list[int], sets: list[np.ndarray], buckets: int, turn: int) -> p
         carry = counts if b == turn % buckets else np.zeros(0, np.int64)
         own = who[lo:hi]
         used = np.unique(own[own != MULTI])
-        local = np.searchsorted(used, own).astype(np.uint32)
-        local[own == MULTI] = MULTI
+        kind = np.uint16 if len(used) < 0xFFFF else np.uint32
+        local = np.searchsorted(used, own).astype(kind)
+        local[own == MULTI] = np.iinfo(kind).max
         rows.append((b, low[lo:hi].tobytes(), local.tobytes(), np.array(ids, np.int64)[used].tobytes(),
                      np.array(ids, np.int64)[:len(carry)].tobytes(), carry.astype(np.int64).tobytes()))
     names = ["bucket", "hashes", "who", "ids", "counted", "counts"]
@@ -122,8 +122,9 @@ def _count(rows: list[tuple]) -> pa.RecordBatch:
     ids = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
     who, base = [], 0
     for r in rows:
-        w = np.frombuffer(r[1], np.uint32).astype(np.int64)
-        w[w == int(MULTI)] = -1
+        kind = np.uint16 if len(r[1]) < len(r[0]) else np.uint32
+        w = np.frombuffer(r[1], kind).astype(np.int64)
+        w[w == np.iinfo(kind).max] = -1
         who.append(np.where(w < 0, -1, w + base))
         base += len(r[2]) // 8
     who = np.concatenate(who)
@@ -180,32 +181,15 @@ def least_overlap(n: int | np.ndarray, m: int | np.ndarray, percent: int = PERCE
     return -(-percent * (n + m) // (100 + percent))
 
 
-def _prefixes(percent: int, common: np.ndarray):
-    """The shingles one of which any two linked documents share: all but the least overlap, common ones last."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = np.argsort(common)
-        known = common[rank]
-        for batch in batches:
-            docs, tokens = [], []
-            for doc, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = np.frombuffer(blob.as_py(), np.uint64)
-                weight = np.zeros(len(s), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    weight = np.where(known[at] == s, rank[at] + 1, 0)
-                keep = len(s) - int(-(-percent * len(s) // 100)) + 1
-                chosen = s[np.lexsort((s, weight))[:keep]]
-                docs.append(np.full(len(chosen), doc, np.int64)), tokens.append(chosen.astype(np.int64))
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(tokens))], names=["doc_id", "token"])
-    return run
-
-
-def _list_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each entry of the inverted lists."""
     for batch in batches:
-        if batch.num_rows:
-            tokens, counts = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts)], names=["token", "n"])
+        for lo in range(0, batch.num_rows, 64):
+            part = batch.slice(lo, 64)
+            blobs = part.column(2).to_pylist()
+            sizes = [len(b) // 8 for b in blobs]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(i).to_numpy(), sizes)) for i in (0, 1)]
+                                             + [pa.array(np.frombuffer(b"".join(blobs), np.int64))], names=["doc_id", "n", "token"])
 
 
 class InvertedLists:
@@ -295,9 +279,9 @@ def _links(percent: int):
     return run
 
 
-def _search(placed: DataFrame, percent: int) -> DataFrame:
-    """Links within the blocks of ``placed`` (block, side, doc_id, component, s)."""
-    return placed.groupBy("block").applyInArrow(_links(percent), "a long, b long")
+def _search(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within the blocks of ``placed`` (block, side, doc_id, component)."""
+    return placed.join(sets.select("doc_id", "s"), "doc_id").groupBy("block").applyInArrow(_links(percent), "a long, b long")
 
 
 def component_ids(docs: DataFrame, percent: int = PERCENT, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -346,23 +330,26 @@ def component_ids(docs: DataFrame, percent: int = PERCENT, size: int = SIZE, id_
 
 
 def _find_links(left: DataFrame, percent: int, block: int) -> DataFrame:
-    lists = left.select("s").mapInArrow(_list_lengths, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = lists.where("n >= 16").orderBy(F.desc("n"), "token").limit(COMMON_LISTS).collect()
-    common = np.array([r.token for r in reversed(top)], np.int64).view(np.uint64)  # at most COMMON_LISTS, the longest list last
-    prefixes = written(left.select("doc_id", "s").mapInArrow(_prefixes(percent, common), "doc_id long, token long"), "prefixes")
+    lists = left.select("doc_id", "n", "s").mapInArrow(_lists, "doc_id long, n long, token long")
+    lengths = lists.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    doc = Window.partitionBy("doc_id", "n")
+    ranked = lists.join(lengths, "token").select(
+        "doc_id", "token", F.row_number().over(doc.orderBy("df", "token")).alias("at"), F.count("*").over(doc).alias("shared"), F.ceil(F.col("n") * percent / 100).alias("need"))
+    # Of the shingles that others share, rarest first, all but the least overlap: linked documents share one of these.
+    prefixes = written(ranked.where("at <= shared - need + 1").select("doc_id", "token"), "prefixes")
     hub = prefixes.groupBy("token").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1").select("token", "hub")
     near = prefixes.join(hub, "token").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct()
     groups = connected_components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-    grouped = left.join(groups, "doc_id").withColumn("component", F.col("doc_id"))
-    sizes = written(groups.groupBy("grp").agg(F.count("*").alias("members")), "sizes")
-    placed = written(grouped.join(sizes, "grp"), "grouped")
-    side = F.lit(0).alias("side")
-    small = placed.where(F.col("members") <= block).select(F.concat_ws("/", F.lit("g"), "grp").alias("block"), side, "doc_id", "component", "s")
-    links = written(_search(small, percent), "links")
-    large = placed.where(F.col("members") > block)
+    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    ids = left.select("doc_id", "n", F.col("doc_id").alias("component"))
+    placed = written(ids.join(groups, "doc_id").join(sizes, "grp"), "grouped")
+    small = placed.where(F.col("members") <= block).select(F.concat_ws("/", F.lit("g"), "grp").alias("block"), F.lit(0).alias("side"), "doc_id", "component")
+    links = written(_search(small, left, percent), "links")
+    large = placed.where(F.col("members") > block).drop("members")
     if large.isEmpty():
         return links
-    return links.union(_large_groups(large, percent, block))
+    sets = written(left.join(large.select("doc_id").distinct(), "doc_id"), "large")
+    return links.union(_large_groups(large, sets, percent, block))
 
 
 def _cut(rows: DataFrame, block: int, *order: str) -> DataFrame:
@@ -374,19 +361,19 @@ def _cut(rows: DataFrame, block: int, *order: str) -> DataFrame:
     return rows.join(numbered.select("doc_id", F.floor(F.col("at") / block).alias("part")), "doc_id")
 
 
-def _large_groups(large: DataFrame, percent: int, block: int) -> DataFrame:
-    def relabel(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _large_groups(large: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    def relabel(links: DataFrame) -> DataFrame:
         parts = connected_components(links).withColumnRenamed("component", "_c")
-        return rows.drop("component").join(parts, F.col("doc_id") == F.col("node"), "left").withColumn("component", F.coalesce("_c", "doc_id")).drop("_c", "node")
+        named = large.drop("component").join(parts, F.col("doc_id") == F.col("node"), "left")
+        return named.select("grp", "doc_id", "n", F.coalesce("_c", "doc_id").alias("component"))
 
     def within(rows: DataFrame) -> DataFrame:
-        return _search(rows.select(F.concat_ws("/", "grp", "part").alias("block"), F.lit(0).alias("side"), "doc_id", "component", "s"), percent)
+        return _search(rows.select(F.concat_ws("/", "grp", "part").alias("block"), F.lit(0).alias("side"), "doc_id", "component"), sets, percent)
     links = written(within(_cut(large, block, "n")), "links")
-    rows = written(relabel(large, links), "labelled")
+    rows = written(relabel(links), "labelled")
     # A few members of every component, mixed: most of a family becomes one component here.
-    heads = _heads(rows)
-    links = written(links.union(within(_cut(rows.join(heads, "doc_id"), block, "h"))), "links")
-    rows = written(_cut(relabel(large, links), block, "component", "n"), "labelled")
+    links = written(links.union(within(_cut(rows.join(_heads(rows), "doc_id"), block, "h"))), "links")
+    rows = written(_cut(relabel(links), block, "component", "n"), "labelled")
     parts = written(rows.groupBy("grp", "part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most")), "parts")
     x, y = parts.alias("x"), parts.alias("y")
     meets = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.part") < F.col("y.part"))
@@ -395,7 +382,7 @@ def _large_groups(large: DataFrame, percent: int, block: int) -> DataFrame:
     pairs = meets.select("x.grp", F.col("x.part").alias("p"), F.col("y.part").alias("q"))
     sides = pairs.select("grp", "p", "q", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("p").alias("part")), F.struct(F.lit(1).alias("side"), F.col("q").alias("part")))).alias("e"))
     crossed = rows.join(sides.select("grp", "p", "q", "e.side", "e.part"), ["grp", "part"])
-    last = _search(crossed.select(F.concat_ws("/", "grp", "p", "q").alias("block"), "side", "doc_id", "component", "s"), percent)
+    last = _search(crossed.select(F.concat_ws("/", "grp", "p", "q").alias("block"), "side", "doc_id", "component"), sets, percent)
     return links.union(written(last.union(within(rows)), "links"))
 
 
