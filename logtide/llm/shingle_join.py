@@ -18,6 +18,7 @@ PERCENT = 80
 BUCKET_SHINGLES = 2_000_000
 FLUSH_SHINGLES = 2_000_000
 FILTER_BITS = 1 << 23
+RANGE_DOCS = 1_000_000
 BLOCK = 512
 MU = 0.0085  # cost of a probe against a merge step, from the DivideSkip paper
 MULTI = np.uint32(0xFFFFFFFF)
@@ -102,22 +103,45 @@ def _flush(ids: list[int], sets: list[np.ndarray], buckets: int, turn: int) -> p
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6)]], names=names)
 
 
-def _shared(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over one bucket: how many shingles each document shares with any other. Rows come sorted by bucket."""
+def _by_key(handle, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``handle`` on the rows of each value of the first column, by which they come sorted."""
     held: list[tuple] = []
     at = None
-    for batch in groups:
+    for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if at is not None and row[0] != at:
-                yield _count(held)
+                yield handle(held)
                 held = []
             at = row[0]
             held.append(row[1:])
     if held:
-        yield _count(held)
+        yield handle(held)
+
+
+def _shared(ranges: int):
+    """Over one bucket: how many shingles each document shares with any other, as one row per range of documents."""
+    def pack(rows: list[tuple]) -> pa.RecordBatch:
+        ids, counts = _count(rows)
+        place = (mix64(ids.astype(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        place, ids, counts = place[order], ids[order], counts[order]
+        found, start = np.unique(place, return_index=True)
+        cut = lambda x: [p.tobytes() for p in np.split(x, start[1:])] if len(found) else []
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(cut(ids), pa.binary()), pa.array(cut(counts), pa.binary())],
+                                          names=["range", "ids", "counts"])
+    return lambda batches: _by_key(pack, batches)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of one range of documents from all buckets, summed."""
+    def add(rows: list[tuple]) -> pa.RecordBatch:
+        ids, counts = (np.frombuffer(b"".join(r[i] for r in rows), np.int64) for i in (0, 1))
+        unique, where = np.unique(ids, return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(unique), pa.array(np.bincount(where, counts, len(unique)).astype(np.int64))], names=["doc_id", "shared"])
+    return _by_key(add, batches)
 
 
-def _count(rows: list[tuple]) -> pa.RecordBatch:
+def _count(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     low = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows])
     ids = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
     who, base = [], 0
@@ -137,8 +161,7 @@ def _count(rows: list[tuple]) -> pa.RecordBatch:
     docs = np.concatenate([ids, *[np.frombuffer(r[3], np.int64) for r in rows]])
     counts = np.concatenate([counts, *[np.frombuffer(r[4], np.int64) for r in rows]])
     unique, where = np.unique(docs[counts > 0], return_inverse=True)
-    sums = np.bincount(where, counts[counts > 0], len(unique)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(unique, pa.int64()), pa.array(sums, pa.int64())], names=["doc_id", "shared"])
+    return unique, np.bincount(where, counts[counts > 0], len(unique)).astype(np.int64)
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
@@ -302,11 +325,12 @@ def component_ids(docs: DataFrame, percent: int = PERCENT, size: int = SIZE, id_
     """
     texts = _texts(docs, id_col, text_col)
     signed = written(texts.mapInArrow(_signatures(size), "doc_id long, n long, k1 long, k2 long"), "signatures")
-    total = signed.agg(F.sum("n")).first()[0] or 0
+    rows, total = signed.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_SHINGLES)))
     posted = texts.mapInArrow(_postings(size, buckets), "bucket int, hashes binary, who binary, ids binary, counted binary, counts binary")
-    counted = posted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "doc_id long, shared long")
-    shared = counted.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    ranges = max(64, -(-rows // RANGE_DOCS))
+    counted = posted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(ranges), "range long, ids binary, counts binary")
+    shared = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_sums, "doc_id long, shared long")
     named = signed.where("n > 0 AND doc_id IS NOT NULL")
     known = named.join(shared, "doc_id", "left").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.max("shared").alias("shared"))
     reps = written(known, "sets")
