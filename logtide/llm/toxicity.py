@@ -46,16 +46,37 @@ def _hash(name: str) -> int:
 IDENTITY_FEATURES = tuple(sorted({h for w in SWAPS for h in features({w})}))
 
 
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of a sentence and, if it names a group, those of its counterfactual: each term becomes the next of its group."""
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many sentences of the task, and in how many with label 1, each feature occurs."""
+    every, positive = [], []
     for batch in batches:
-        own, swapped = [], []
-        for text in batch.column(0).to_pylist():
-            words = set(_words((text or "").lower()))
-            own.append(list(features(words)))
-            swapped.append(list(features({SWAPS[w][0] if w in SWAPS else w for w in words})) if words & SWAPS.keys() else None)
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            found = np.fromiter(features(set(_words(text.lower()))), np.int64)
+            every.append(found)
+            if label:
+                positive.append(found)
+    if every:
+        known, n = np.unique(np.concatenate(every), return_counts=True)
+        p = np.zeros(len(known), np.int64)
+        if positive:
+            some, count = np.unique(np.concatenate(positive), return_counts=True)
+            p[np.searchsorted(known, some)] = count
+        yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(p), pa.array(n)], names=["f", "p", "n"])
+
+
+def _labelled(index: dict[int, int]):
+    """Chosen features of a sentence and, if it names a group, those of its counterfactual: each term becomes the next of its group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(own, kind), pa.array(swapped, kind), batch.column(1)], names=["own", "swapped", "label"])
+        pick = lambda words: [f for f in features(words) if f in index]
+        for batch in batches:
+            own, swapped = [], []
+            for text in batch.column(0).to_pylist():
+                words = set(_words(text.lower()))
+                own.append(pick(words))
+                swapped.append(pick({SWAPS[w][0] if w in SWAPS else w for w in words}) if words & SWAPS.keys() else None)
+            yield pa.RecordBatch.from_arrays([pa.array(own, kind), pa.array(swapped, kind), batch.column(1)], names=["own", "swapped", "label"])
+    return run
 
 
 def _design(rows: list, index: dict[int, int], width: int) -> np.ndarray:
@@ -105,12 +126,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
               .withColumn(id_col, F.col("_id")).where(train).orderBy(F.xxhash64("_id"), "_id").limit(max_rows).select("_id", "_label"))
     chosen = written(chosen, "labelled")  # at most max_rows rows of two numbers
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id").where("_text IS NOT NULL")
-    rows = written(texts.select("_text", "_label").mapInArrow(_labelled, "own array<long>, swapped array<long>, label double"), "features")
-    n, positive = rows.agg(F.count("*"), F.sum("label")).first()
+    rows = written(texts.select("_text", "_label"), "sample")
+    n, positive = rows.agg(F.count("*"), F.sum("_label")).first()
     if not n or positive in (0, n):
         share = (positive or 0.0) / n if n else 0.0
         return {"index": {}, "weights": np.array([np.log((share + 1e-3) / (1 - share + 1e-3))])}
-    counts = rows.select(F.explode("own").alias("f"), "label").groupBy("f").agg(F.sum("label").alias("p"), F.count("*").alias("n")).where("n >= 3")
+    partial = rows.mapInArrow(_frequencies, "f long, p long, n long")
+    counts = partial.groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).where("n >= 3")
     yes, no = F.col("p"), F.col("n") - F.col("p")
     odds = F.log((yes + 0.5) / (positive - yes + 0.5)) - F.log((no + 0.5) / (n - positive - no + 0.5))
     error = F.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
@@ -118,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     known = sorted({r.f for r in picked.collect()} | set(IDENTITY_FEATURES))
     index = {f: i for i, f in enumerate(known)}
     weights = np.zeros(len(index) + 1)
-    spread = rows.repartition(8)
+    spread = written(rows.mapInArrow(_labelled(index), "own array<long>, swapped array<long>, label double").repartition(8), "features")
     for _ in range(rounds):
         parts = spread.mapInArrow(_step(index, weights, fairness), "grad binary, hess binary").collect()
         grad = sum(np.frombuffer(r.grad) for r in parts)
