@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from logtide.plans import QUERIES, derived
@@ -38,6 +39,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session("logtide-bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="logtide-bench-"),
         "spark.ui.showConsoleProgress": "false", "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -41,11 +41,18 @@ def parse_split(log: DataFrame, value: str = "value") -> tuple[DataFrame, DataFr
 
 
 def declare(log: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A JSON log read with a declared schema; records that are not JSON are skipped."""
+    """A JSON log read with a declared schema; ``undeclared`` gives the records that are not JSON objects of it."""
     good = with_box(log, value).filter(J.is_json(F.col(value), F.col("_box")))
     return computed_once(good, _v=J.typed(F.col(value), schema)).filter(F.col("_v").isNotNull()).select(*keep, "_v.*")
 
 
+def undeclared(log: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """The records that ``declare`` leaves out, whole, with ``reason``: each record is in one of the two."""
+    tagged = with_box(log, value).withColumn("reason", F.when(~F.coalesce(J.is_json(F.col(value), F.col("_box")), F.lit(False)), F.lit("not JSON")))
+    read = computed_once(tagged, _v=F.when(F.col("reason").isNull(), J.typed(F.col(value), schema)))
+    return read.filter(F.col("_v").isNull()).select(*log.columns, F.coalesce("reason", F.lit("not an object")).alias("reason"))
+
+
 def unwrap_log(log: DataFrame, value: str = "value") -> DataFrame:
     """Add ``document``: the text of the inner document of a possibly double-encoded value.
 
@@ -101,6 +108,7 @@ def read_versions(log: DataFrame, schemas: dict[int, T.StructType], version: str
 
     Each record is decoded with the schema it was written with. Columns that its version
     lacks are null; a column whose type changed gets the type of the newest version.
+    ``unread_versions`` gives the records with another version and those that do not decode.
     """
     ordered = sorted(schemas.items())
     decoded = computed_once(log.filter(F.col(version).isin(list(schemas))), **{
@@ -116,6 +124,14 @@ def read_versions(log: DataFrame, schemas: dict[int, T.StructType], version: str
     return decoded.filter(readable).select(*keep, version, *fields)
 
 
+def unread_versions(log: DataFrame, schemas: dict[int, T.StructType], version: str = "schema_id", value: str = "value") -> DataFrame:
+    """The records that ``read_versions`` leaves out, whole, with ``reason``: each record is in one of the two."""
+    known = F.coalesce(F.col(version).isin(list(schemas)), F.lit(False))
+    read = computed_once(log, **{f"_v{sid}": F.when(F.col(version) == sid, J.typed(F.col(value), schema)) for sid, schema in schemas.items()})
+    readable = reduce(lambda a, b: a | b, [F.col(f"_v{sid}").isNotNull() for sid in schemas])
+    return read.filter(~readable).select(*log.columns, F.when(known, F.lit("does not decode")).otherwise(F.lit("unknown version")).alias("reason"))
+
+
 def wire_header(df: DataFrame, body: str = "body") -> DataFrame:
     """Split ``0x00 | 4-byte big-endian schema id | payload`` frames.
 

@@ -72,9 +72,22 @@ def gate_rows(df: DataFrame, columns: dict[str, Column], schema: T.StructType) -
     )
 
 
+#: From narrow to wide: a value of a later type need not fit into an earlier one.
+_WIDTHS = {kind: i for i, kind in enumerate(("tinyint", "smallint", "int", "bigint", "float", "double"))}
+
+
 def evolve(df: DataFrame, table: T.StructType) -> DataFrame:
-    """``df`` with the table's missing columns added as nulls, table columns first."""
+    """``df`` with the table's missing columns added as nulls, table columns first.
+
+    Files of a table cannot mix numeric types, so a batch whose column is wider than the table's is refused: casting it
+    would lose digits.
+    """
     have = set(df.columns)
+    for f in table.fields:
+        if f.name in have:
+            new, old = (_WIDTHS.get(t.simpleString()) for t in (df.schema[f.name].dataType, f.dataType))
+            if new is not None and old is not None and new > old:
+                raise ValueError(f"column {f.name}: the batch has {df.schema[f.name].dataType.simpleString()}, the table {f.dataType.simpleString()}; rewrite the table first")
     known = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have
              else F.lit(None).cast(f.dataType).alias(f.name) for f in table.fields]
     return df.select(*known, *[c for c in df.columns if c not in set(table.fieldNames())])

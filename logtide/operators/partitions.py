@@ -23,21 +23,22 @@ def partition_distribution(log: DataFrame, partitions: int, partition: str = "pa
                            healthy_share: float = 0.2) -> DataFrame:
     """Rows, share, over-share flag per partition, and which partition is the worst.
 
-    Every partition of the topic is listed. An empty topic has shares 0 and no worst one.
+    Every partition of the topic is listed, and so is every other number that records carry, null included: those are
+    strays, and count in the shares. An empty topic has shares 0 and no worst one.
     """
     counts = log.groupBy(F.col(partition).cast("bigint").alias("partition")).agg(F.count("*").alias("n"))
     every = log.sparkSession.range(partitions).select(F.col("id").alias("partition"))
-    loads = every.join(counts, "partition", "left").select(
+    loads = every.join(counts, "partition", "full_outer").select(
         "partition", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("records"))
     # One row per partition of the topic, so a window over all of them is small.
     topic = Window.partitionBy(F.lit(0))
     total = F.sum("records").over(topic)
     # Largest count first, lowest partition number among equals.
-    worst = F.max(F.struct("records", (-F.col("partition")).alias("p"))).over(topic)
+    worst = F.max(F.when(F.col("partition").isNotNull(), F.struct("records", (-F.col("partition")).alias("p")))).over(topic)
     share = F.when(total > 0, F.col("records") / total).otherwise(F.lit(0.0))
     return loads.select("partition", "records", share.alias("share"), (-worst["p"]).alias("_worst"), total.alias("_t")).select(
         "partition", "records", "share", (F.col("share") > healthy_share).alias("over_healthy"),
-        ((F.col("partition") == F.col("_worst")) & (F.col("_t") > 0)).alias("is_worst"))
+        (F.col("partition").eqNullSafe(F.col("_worst")) & F.col("partition").isNotNull() & (F.col("_t") > 0)).alias("is_worst"))
 
 
 def key_counts(df: DataFrame, key: str, window: Column | None = None) -> DataFrame:

@@ -128,7 +128,7 @@ def state_differences(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def stage_latency(hops: DataFrame, stages: list[str]) -> DataFrame:
-    """Delay of each stage per order: first event of the stage minus that of the one before.
+    """Delay of each stage per order: first event of the stage minus that of the nearest stage before that the order has.
 
     ``hops`` has (order_id, stage, ts). First times are plain aggregates, so repeated
     events of one order fold inside each task.
@@ -137,7 +137,7 @@ def stage_latency(hops: DataFrame, stages: list[str]) -> DataFrame:
         *[F.min(F.when(F.col("stage") == s, F.col("ts"))).alias(f"_t{i}") for i, s in enumerate(stages)])
     rows = F.array(*[
         F.struct(F.lit(i).alias("stage_no"), F.lit(s).alias("stage"), F.col(f"_t{i}").alias("ts"),
-                 ((F.unix_micros(f"_t{i}") - F.unix_micros(f"_t{i - 1}")) / 1_000_000 if i else
+                 ((F.unix_micros(f"_t{i}") - F.unix_micros(F.coalesce(*[f"_t{k}" for k in range(i - 1, -1, -1)]))) / 1_000_000 if i else
                   F.lit(None).cast("double")).alias("delay_seconds"))
         for i, s in enumerate(stages)
     ])
@@ -147,11 +147,11 @@ def stage_latency(hops: DataFrame, stages: list[str]) -> DataFrame:
 def saga_story(steps: DataFrame) -> DataFrame:
     """Numbered story per order from (order_id, step, at, rank).
 
-    Repeated steps collapse to their first time before the story is put in order, so the
-    sorted array has at most one entry per kind of step.
+    Every event is told, repeated steps too; equal ones are counted before the story is put in order and told so often.
     """
-    firsts = steps.groupBy("order_id", "step", "rank").agg(F.min("at").alias("at"))
-    story = firsts.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct("at", "rank", "step"))).alias("_s"))
+    counted = steps.groupBy("order_id", "at", "rank", "step").agg(F.count("*").cast("int").alias("_n"))
+    kinds = counted.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct("at", "rank", "step", "_n"))).alias("_k"))
+    story = kinds.select("order_id", F.flatten(F.transform("_k", lambda e: F.array_repeat(e, e["_n"]))).alias("_s"))
     return story.select("order_id", F.posexplode("_s").alias("_p", "_e")).select(
         "order_id", (F.col("_p") + 1).alias("story_no"), "_e.step", "_e.at")
 

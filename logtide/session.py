@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,20 +33,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: on a cluster the
-    executors would not see each other's files there.
-    """
+    """The folder all executors share, from ``spark.checkpoint.dir``; unset, a folder of the warehouse, which they share too."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="logtide-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

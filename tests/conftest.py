@@ -11,9 +11,10 @@ SF = os.environ.get("LOGTIDE_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "logtide-tests", "local[8]", **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.streaming.stateStore.providerClass":
