@@ -16,7 +16,7 @@ from logtide.session import written
 SIZE = 5
 PERCENT = 80
 BUCKET_SHINGLES = 2_000_000
-FLUSH_SHINGLES = 2_000_000
+FLUSH_SHINGLES = 500_000
 FILTER_BITS = 1 << 23
 RANGE_DOCS = 1_000_000
 BLOCK = 512
@@ -88,17 +88,16 @@ def _flush(ids: list[int], sets: list[np.ndarray], buckets: int, turn: int) -> p
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # hashes are sorted, so buckets are slices
     at = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     low = (mix64(hashes) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    docs, none, home = np.array(ids, np.int64), np.zeros(0, np.int64), turn % buckets
     rows = []
-    for b in range(buckets):
-        lo, hi = at[b], at[b + 1]
-        carry = counts if b == turn % buckets else np.zeros(0, np.int64)
-        own = who[lo:hi]
+    for b in np.union1d(bucket, [home]).astype(np.int64).tolist():  # buckets without a shingle of this run get no row
+        own = who[at[b]:at[b + 1]]
         used = np.unique(own[own != MULTI])
         kind = np.uint16 if len(used) < 0xFFFF else np.uint32
         local = np.searchsorted(used, own).astype(kind)
         local[own == MULTI] = np.iinfo(kind).max
-        rows.append((b, low[lo:hi].tobytes(), local.tobytes(), np.array(ids, np.int64)[used].tobytes(),
-                     np.array(ids, np.int64)[:len(carry)].tobytes(), carry.astype(np.int64).tobytes()))
+        counted = (docs, counts.astype(np.int64)) if b == home else (none, none)
+        rows.append((b, low[at[b]:at[b + 1]].tobytes(), local.tobytes(), docs[used].tobytes(), *[c.tobytes() for c in counted]))
     names = ["bucket", "hashes", "who", "ids", "counted", "counts"]
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in range(1, 6)]], names=names)
 
