@@ -168,16 +168,20 @@ _RESENT = """(SELECT order_no, order_id, scenario, part, pos, ts, total, 'create
      SELECT order_no, order_id, scenario, part, pos + 1000000000000, ts + INTERVAL 1 DAY, total, 'updated' FROM f_log_orders WHERE pos % 5 = 0)"""
 
 
-@query("dedup_delivery_vs_business", f"""
-    SELECT order_id AS key, count(*) AS delivery_effects, 1 AS business_effects FROM {_RESENT} GROUP BY order_id""",
-       ("f_log_orders",))
+@query("dedup_delivery_vs_business", """
+    SELECT order_id AS key, count(*) AS delivery_effects, count(DISTINCT status) AS business_effects
+    FROM (SELECT order_id, status FROM f_log_payments UNION ALL SELECT order_id, status FROM f_log_payments WHERE pos % 5 = 0)
+    GROUP BY order_id""", ("f_log_payments",))
 def dedup_delivery_vs_business(spark: SparkSession, sf: str) -> DataFrame:
-    """Effects per key when deliveries are deduplicated, and when business keys are."""
-    log = resent(D.log_orders(spark, sf)).select("key", *V.DELIVERY)
-    redelivered = D.deliveries(log)
-    kept = V.distinct_deliveries(redelivered, "delivery_seq")
-    return kept.groupBy("key").agg(
-        F.count("*").alias("delivery_effects"), F.lit(1).alias("business_effects"))
+    """Effects per key when deliveries are deduplicated, and when business events (key, status) are.
+
+    An order has a payment and maybe a refund, and every 5th of these events was sent again with a new offset.
+    """
+    log = resent(D.log_payments(spark, sf)).select(
+        F.col("key"), F.get_json_object("value", "$.status").alias("status"), *V.DELIVERY)
+    once = V.distinct_deliveries(D.deliveries(log), "delivery_seq")
+    events = once.groupBy("key", "status").agg(F.count("*").alias("copies"))
+    return events.groupBy("key").agg(F.sum("copies").alias("delivery_effects"), F.count("*").alias("business_effects"))
 
 
 @query("effect_counts", f"""
