@@ -13,6 +13,7 @@ OUT_OF_STOCK_REASON = "inventory reservation failed: out of stock"
 DECLINED_OUTCOME = "payment declined, no further steps"
 COMPENSATED_OUTCOME = "compensated: payment refunded after inventory failure"
 COMPLETED_OUTCOME = "completed"
+DEAD_LETTERED_OUTCOME = "payment gave up after all attempts"
 REJECTED_TEXT = "downstream rejected %s (attempt %d) — simulated permanent outage"
 TIMEOUT_TEXT = "downstream timeout for %s (attempt %d/%d)"
 MAX_ATTEMPTS = 3

@@ -69,8 +69,12 @@ def _step(step: str, detail: Column) -> Column:
     return F.struct(F.lit(step).alias("step"), detail.alias("detail"))
 
 
-def orchestrated_audit(orders: DataFrame, at: str = "ts") -> DataFrame:
-    """Audit rows of the orchestrated saga: (order_id, seq, step, detail)."""
+def orchestrated_audit(orders: DataFrame, at: str = "ts", gave_up: Column | None = None, shipped: Column | None = None) -> DataFrame:
+    """Audit rows of the orchestrated saga: (order_id, seq, step, detail).
+
+    ``gave_up`` marks orders whose payment used up its attempts, ``shipped`` those whose shipment is known; without them,
+    no payment gives up and all is shipped. A saga that waits for its shipment has no end yet.
+    """
     oid = F.col("order_id")
     declined = F.array(
         _step("payment", F.lit("failed")),
@@ -85,7 +89,12 @@ def orchestrated_audit(orders: DataFrame, at: str = "ts") -> DataFrame:
         _step("inventory", F.lit("reserved")),
         _step("shipment", R.tracking_id(oid, F.col(at))),
         _step("saga-ended", F.lit(R.COMPLETED_OUTCOME)))
-    steps = F.when(R.is_declined(oid), declined).when(R.is_out_of_stock(oid), out_of_stock).otherwise(happy)
+    dead = F.array(
+        _step("payment", F.lit("failed")),
+        _step("saga-ended", F.lit(R.DEAD_LETTERED_OUTCOME)))
+    reserved = happy if shipped is None else F.when(shipped, happy).otherwise(F.slice(happy, 1, 2))
+    paid = F.when(R.is_out_of_stock(oid), out_of_stock).otherwise(reserved)
+    steps = F.when(R.is_declined(oid), declined).otherwise(paid if gave_up is None else F.when(gave_up, dead).otherwise(paid))
     return orders.select("order_id", F.posexplode(steps).alias("seq", "s")).select("order_id", "seq", "s.step", "s.detail")
 
 
@@ -117,14 +126,15 @@ def orchestrated_states(audit: DataFrame) -> DataFrame:
         F.when(F.col("_end") == R.COMPLETED_OUTCOME, "completed")
         .when(F.col("_end") == R.COMPENSATED_OUTCOME, "compensated")
         .when(F.col("_end") == R.DECLINED_OUTCOME, "declined")
+        .when(F.col("_end") == R.DEAD_LETTERED_OUTCOME, "dead-lettered")
         .otherwise("in-flight").alias("state"))
 
 
-def state_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Orders whose two terminal states differ or that only one side knows."""
+def state_agreement(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Both terminal states of every order that either side knows, and whether they agree."""
     l = left.select("order_id", F.col("state").alias("left_state"))
     r = right.select("order_id", F.col("state").alias("right_state"))
-    return l.join(r, "order_id", "full_outer").filter(~F.col("left_state").eqNullSafe(F.col("right_state")))
+    return l.join(r, "order_id", "full_outer").withColumn("agree", F.col("left_state").eqNullSafe(F.col("right_state")))
 
 
 def stage_latency(hops: DataFrame, stages: list[str]) -> DataFrame:

@@ -45,3 +45,9 @@ def test_wider_batches_are_refused_whole(spark, tmp_path, old, new, value):
         gated_append(spark.createDataFrame([(value,)], f"qty {new}"), path)
     assert spark.read.parquet(path).count() == 1
     assert isinstance(spark.read.parquet(path).schema["qty"].dataType, T.IntegerType)
+
+
+def test_agreement_shows_planted_differences(spark):
+    left = spark.createDataFrame([("a", "completed"), ("b", "declined"), ("c", "completed")], "order_id string, state string")
+    right = spark.createDataFrame([("a", "completed"), ("b", "compensated"), ("d", "declined")], "order_id string, state string")
+    assert {r.order_id: r.agree for r in stages.state_agreement(left, right).collect()} == {"a": True, "b": False, "c": False, "d": False}
