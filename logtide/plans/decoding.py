@@ -97,7 +97,7 @@ def shape_guard_query(spark: SparkSession, sf: str) -> DataFrame:
     tail = [F.col("checksum"), F.lit("text/plain").alias("contentType")]
     good = F.to_json(F.struct(*fields, F.col("size_bytes").alias("sizeBytes"), *tail))
     text_size = F.to_json(F.struct(*fields, F.col("size_bytes").cast("string").alias("sizeBytes"), *tail))
-    view = F.lit('{"eventType":"page_view","userId":"user-42","page":"/home"}')
+    view = F.lit('{"kind":"visit","visitor":7,"address":"/catalogue"}')
     refs = D.attachment_refs(spark, sf).withColumn("doc_id", F.substring_index("event_id", "-", -1).cast("bigint"))
     log = refs.select("doc_id", F.when(n % 17 == 0, F.lit("heyyy")).when(n % 15 == 0, view).when(n % 10 == 0, text_size)
                       .otherwise(good).alias("value"))

@@ -124,13 +124,13 @@ def payment_effects(fresh: DataFrame) -> dict[str, DataFrame]:
     orders = fresh.select(
         F.get_json_object("value", "$.orderId").alias("order_id"), F.lit(None).cast("array<string>").alias("items"),
         F.get_json_object("value", "$.total").cast("double").alias("total"), F.col("timestamp").alias("ts"),
-        "partition", "offset")
+        *V.DELIVERY)
     # One delivery is one order: the payment keeps the coordinates of its delivery.
-    paid = to_payments(orders, extra=("partition", "offset"))
+    paid = to_payments(orders, extra=tuple(V.DELIVERY))
     event = F.when(F.col("status") == "succeeded", "PaymentSucceeded").otherwise("PaymentFailed")
     outbox = V.outbox_rows(paid, "payments", "order_id", event, F.to_json(F.struct(
-        event.alias("type"), F.col("order_id").alias("orderId"), "amount", "status")))
-    return {"payments": paid, "outbox": outbox}
+        event.alias("type"), F.col("order_id").alias("orderId"), "amount", "status")), tuple(V.DELIVERY))
+    return {"payments": paid.drop("topic"), "outbox": outbox}
 
 
 @query("batched_idempotent", """

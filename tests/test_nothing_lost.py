@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from logtide import schemas as S
 from logtide.operators import decode, partitions, stages
+from logtide.plans.delivering import payment_effects
 from logtide.sinks.tables import gated_append
 
 
@@ -51,3 +52,10 @@ def test_agreement_shows_planted_differences(spark):
     left = spark.createDataFrame([("a", "completed"), ("b", "declined"), ("c", "completed")], "order_id string, state string")
     right = spark.createDataFrame([("a", "completed"), ("b", "compensated"), ("d", "declined")], "order_id string, state string")
     assert {r.order_id: r.agree for r in stages.state_agreement(left, right).collect()} == {"a": True, "b": False, "c": False, "d": False}
+
+
+def test_order_sent_again_has_its_own_outbox_row(spark):
+    value = '{"orderId": "order-happy-1", "total": 5.0}'
+    fresh = spark.createDataFrame([("orders", 0, 1, value), ("orders", 0, 9, value)], "topic string, partition int, offset long, value string")
+    ids = [r.id for r in payment_effects(fresh.selectExpr("*", "timestamp'2026-01-01 00:00:00' AS timestamp"))["outbox"].collect()]
+    assert len(ids) == len(set(ids)) == 2
