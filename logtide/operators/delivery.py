@@ -89,11 +89,19 @@ def lost_events(store: DataFrame, log: DataFrame, on: list[str]) -> DataFrame:
 
 
 def delivery_audit(log: DataFrame, effects: DataFrame) -> DataFrame:
-    """Per logged delivery: number of effects and ``ok`` / ``lost`` / ``duplicate``."""
-    counted = effects.groupBy(*DELIVERY).agg(F.count("*").alias("effects"))
-    n = F.coalesce(F.col("effects"), F.lit(0).cast("bigint"))
-    return log.join(counted, DELIVERY, "left").select(
-        *log.columns, n.alias("effects"),
+    """Per logged delivery: number of effects and ``ok`` / ``lost`` / ``duplicate``.
+
+    Log and effects are counted together, in one aggregate by delivery; effects of deliveries that are not in the log
+    are left out.
+    """
+    rest = [c for c in log.columns if c not in DELIVERY]
+    logged = log.select(*DELIVERY, F.struct(F.lit(True).alias("_logged"), *rest).alias("_row"))
+    both = logged.unionByName(effects.select(*DELIVERY), allowMissingColumns=True)
+    counted = both.groupBy(*DELIVERY).agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.count_if(F.col("_row").isNull()).alias("effects"))
+    n = F.col("effects")
+    return counted.filter(F.col("_row").isNotNull()).select(
+        *[F.col(c) if c in DELIVERY else F.col("_row").getField(c).alias(c) for c in log.columns], n,
         F.when(n == 0, "lost").when(n == 1, "ok").otherwise("duplicate").alias("verdict"))
 
 
@@ -154,15 +162,14 @@ def relay(outbox: DataFrame, topic_template: str = "{aggregatetype}") -> DataFra
 def reconcile(systems: dict[str, DataFrame], key: str) -> DataFrame:
     """Keys that are not in every system, with the systems they are missing in.
 
-    Each system is reduced to one row per key before the outer join. The label lists the
-    missing systems in the given order.
+    The systems' keys are tagged and counted together, in one aggregate by key. The label lists the missing systems in
+    the given order.
     """
-    joined: DataFrame | None = None
+    tagged: DataFrame | None = None
     for name, df in systems.items():
-        side = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias(f"in_{name}"))
-        joined = side if joined is None else joined.join(side, "key", "full_outer")
-    zero = F.lit(0).cast("bigint")
-    counted = joined.select("key", *[F.coalesce(F.col(f"in_{n}"), zero).alias(f"in_{n}") for n in systems])
+        side = df.select(F.col(key).alias("key"), F.lit(name).alias("_system"))
+        tagged = side if tagged is None else tagged.unionByName(side)
+    counted = tagged.groupBy("key").agg(*[F.count_if(F.col("_system") == n).alias(f"in_{n}") for n in systems])
     missing = F.concat_ws(",", *[F.when(F.col(f"in_{n}") == 0, F.lit(n)) for n in systems])
     return counted.withColumn("missing_in", missing).filter(F.col("missing_in") != "")
 

@@ -157,11 +157,10 @@ def batched_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resent(log: DataFrame) -> DataFrame:
-    """The log with every 5th record sent again later: same key, new offset, new delivery."""
-    ends = F.lit(10 ** 12)
-    again = log.filter(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + ends).withColumn(
+    """The log with every 5th record sent again later: same key, new offset, new delivery, marked ``again``."""
+    again = log.filter(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + F.lit(10 ** 12)).withColumn(
         "timestamp", F.timestamp_seconds(F.unix_seconds("timestamp") + 86_400))
-    return log.unionByName(again)
+    return log.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True)))
 
 
 _RESENT = """(SELECT order_no, order_id, scenario, part, pos, ts, total, 'created' AS st FROM f_log_orders UNION ALL
@@ -189,7 +188,7 @@ def dedup_delivery_vs_business(spark: SparkSession, sf: str) -> DataFrame:
     FROM {_RESENT} GROUP BY order_id""", ("f_log_orders",))
 def effect_counts_query(spark: SparkSession, sf: str) -> DataFrame:
     log = resent(D.log_orders(spark, sf).drop("value", "headers"))
-    status = F.when(F.col("offset") < 10 ** 12, "created").otherwise("updated")
+    status = F.when(F.col("again"), "updated").otherwise("created")
     kept = V.distinct_deliveries(D.deliveries(log.withColumn("status", status)), "delivery_seq")
     return V.effect_counts(kept, "key", "status", "timestamp", ["partition", "offset"])
 

@@ -13,21 +13,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from logtide.functions import rules as R
 from logtide.functions.jsontext import json_literal
 from logtide.operators.stages import refund_events, to_compensation, to_payments, to_refunds
-from logtide.sinks.log import place, to_log
+from logtide.session import scratch_path
+from logtide.sinks.log import append_log, place, to_log
+from logtide.sources.log import read_log
 from logtide.sources.tables import table
 
 PARTITIONS = 3
 SCENARIOS = ("happy", "payment-declined", "out-of-stock", "transient-fail-3", "permanent-fail")
 
-_logs: dict[tuple[str, str, str], DataFrame] = {}
+_logs: dict[tuple[str, str, str], str] = {}
 
 
 def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A derived log, written at its first use in this application and scanned after that."""
+    """A derived log, stored at its first use in this application and scanned like any stored topic after that."""
     slot = (spark.sparkContext.applicationId, sf, name)
     if slot not in _logs:
-        _logs[slot] = build()
-    return _logs[slot]
+        path = scratch_path(spark, name)
+        append_log(build(), path)
+        _logs[slot] = path
+    return read_log(spark, _logs[slot])
 
 
 def order_no(order_id: str = "order_id") -> Column:

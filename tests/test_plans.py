@@ -43,3 +43,16 @@ def test_scans_read_only_what_is_used(spark, sf, name, columns):
 def test_hot_path_stays_out_of_python(spark, sf):
     for name in ("payments_per_minute", "raw_to_typed_orders", "latest_by_offset", "retry_attempts", "counter_rate"):
         assert "Python" not in plan_of(QUERIES[name].plan(spark, sf)), name
+
+
+def test_a_stored_log_is_one_scan_with_pushed_offsets(spark, sf):
+    log = QUERIES["log_scan"].plan(spark, sf)
+    plan = plan_of(log)
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    narrowed = plan_of(log.filter("offset = 5"))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(offset,5\)", narrowed)
+
+
+@pytest.mark.parametrize("name", ["delivery_audit", "reconcile_systems"])
+def test_audits_join_nothing(spark, sf, name):
+    assert "Join" not in plan_of(QUERIES[name].plan(spark, sf))
