@@ -21,8 +21,11 @@ NOVELTY = "novelty"
 #: Words that make a place sensitive.
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api|key|credential|auth|bearer|private|signature|login|pwd", re.IGNORECASE | re.ASCII)
 _long = re.compile(r"[A-Za-z0-9+/_.=-]{16,}").finditer
+_word = re.compile(r"[_./-]*(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*)[0-9]{0,2}[_./-]+").match
 _hexes = re.compile(r"[0-9a-f]{16,}").finditer
 CONTEXT = 96
+NEAR = 48
+LEAST = 16
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -44,17 +47,51 @@ def _name(value: str) -> bool:
     return any(c.isdigit() for c in value) or any(c.isupper() for c in value[1:])
 
 
+def _value_start(text: str, start: int, end: int) -> int:
+    """Where the value starts after leading words as in ``private_key_x``: after the last sensitive one of them, if 16 characters stay."""
+    value, at = start, start
+    while (word := _word(text, at, end)) and end - word.end() >= LEAST:
+        at = word.end()
+        if SENSITIVE.search(word[0]):
+            value = at
+    return value
+
+
+def pieces(text: str) -> Iterator[tuple[int, int, int]]:
+    """``(name, start, end)`` of the strings of 16 characters or more that can be a value; ``name`` is where its name starts.
+
+    A run is cut at each '=' that is no padding at its end: of ``DB_PWD=x`` or ``?signature=x`` the value is ``x`` and the
+    name what stands before it. A run without a part of 16 characters stays whole.
+    """
+    for m in _long(text):
+        parts, start = [(m.start(), m.start())], m.start()
+        end = start + len(m[0].rstrip("="))
+        while 0 <= (cut := text.find("=", start, end)):
+            parts.append((start, cut + 1))
+            start = cut + 1
+        ends = [start - 1 for _, start in parts[1:]] + [m.end()]
+        whole = True
+        for (name, start), end in zip(parts, ends, strict=True):
+            if end - start >= LEAST:
+                whole = False
+                yield name, _value_start(text, start, end), end
+        if whole:
+            yield m.start(), m.start(), m.end()
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Strings of 16 characters or more near a sensitive word, that no base match touches, with the text around them."""
+    """Strings of 16 characters or more with a sensitive word in their name or near them, that no base match touches,
+    with the text around them."""
     out = []
-    for m in _long(text):
-        if any(s < m.end() and m.start() < e for _, s, e in base):
+    for name, start, end in pieces(text):
+        value = text[start:end]
+        if any(s < end and start < e for _, s, e in base):
             continue
-        if not _name(m[0]):
+        if not _name(value):
             continue
-        around = text[max(0, m.start() - CONTEXT):m.start()]
-        if SENSITIVE.search(around[-48:]):
-            out.append({"value": m[0], "around": around + text[m.end():m.end() + CONTEXT], "start": m.start(), "end": m.end()})
+        if SENSITIVE.search(text, min(name, max(0, start - NEAR)), start) or SENSITIVE.search(text, end, end + NEAR):
+            around = text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]
+            out.append({"value": value, "around": around, "start": start, "end": end})
     return out
 
 
@@ -68,7 +105,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text)
             base.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans])
             found.append(candidates(text, spans))
-            names.append(sorted({m[0] for m in _long(text) if _name(m[0])} - {text[s:e] for _, s, e in spans}))
+            names.append(sorted({text[s:e] for _, s, e in pieces(text) if _name(text[s:e])} - {text[s:e] for _, s, e in spans}))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(item)), pa.array(names, pa.list_(pa.string()))],
             names=["doc_id", "digest", "base", "found", "names"])

@@ -308,6 +308,22 @@ def test_novel_strings_in_sensitive_places(spark):
     assert not any(found[i] for i in found if i != 1)
 
 
+def test_secret_values_joined_to_their_names():
+    rng = random.Random(6)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
+    forms = ["DB_PWD={}", "export private_key={}", "auth={}", "https://a.org/get?id=7&signature={}&x=1", "auth:{}", "login: {}", "'credential':'{}'",
+             "private_key_{}", "x=1&a=b=credential={}", "{} is the passphrase", "DB_PWD={}==", "auth=={}", "/auth/{}"]
+    for form in forms:
+        text, value = form.format(key), key + "==" * form.endswith("==")
+        found = secret_scan.candidates(text, secret_scan.base_spans(text))
+        assert [(f["value"], text[f["start"]:f["end"]]) for f in found] == [(value, value)], form
+        assert secret_scan.marginal_bytes(value, found[0]["around"], b"") >= 0.7 * len(value), form
+    for text in (f"COLOR={key}", f"https://a.org/get?id={key}&x=1", f"lovely {key} weather", "auth=short1&x=2", f"token={key}"):
+        assert secret_scan.candidates(text, secret_scan.base_spans(text)) == [], text
+    assert secret_scan.candidates("auth " + "Zk39abcd=Zk39efgh", [])[0]["value"] == "Zk39abcd=Zk39efgh"
+    assert len(list(secret_scan.pieces("a=" * 100_000 + "key_" * 100_000 + "=" * 100_000))) == 1
+
+
 def test_span_operators_odd_rows(spark, odd, empty):
     for find in (pii.find_pii, secret_scan.find_secrets):
         assert find(odd).count() == odd.count() and find(empty).count() == 0
