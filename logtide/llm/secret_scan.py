@@ -22,6 +22,9 @@ NOVELTY = "novelty"
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api|key|credential|auth|bearer|private|signature|login|pwd", re.IGNORECASE | re.ASCII)
 _long = re.compile(r"[A-Za-z0-9+/_.=-]{16,}").finditer
 _word = re.compile(r"[_./-]*(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*)[0-9]{0,2}[_./-]+").match
+_part = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])").finditer
+_vowels = re.compile(r"[aeiouy]", re.IGNORECASE).findall
+_hard = re.compile(r"[^aeiouy]{5}", re.IGNORECASE).search
 _hexes = re.compile(r"[0-9a-f]{16,}").finditer
 CONTEXT = 96
 NEAR = 48
@@ -79,6 +82,14 @@ def pieces(text: str) -> Iterator[tuple[int, int, int]]:
             yield m.start(), m.start(), m.end()
 
 
+def _wordy(value: str) -> bool:
+    """Whether at least five of six letters and digits are in parts that can be words, and 0.3 of them are vowels; a part is three letters
+    or more in one case or with one capital first, a vowel among them, no more than four consonants in a row."""
+    size = sum(c.isalnum() for c in value)
+    parts = [p for m in _part(value) if _vowels(p := m[0]) and not _hard(p)]
+    return 6 * sum(map(len, parts)) >= 5 * size and 10 * sum(len(_vowels(p)) for p in parts) >= 3 * size
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     """Strings of 16 characters or more with a sensitive word in their name or near them, that no base match touches,
     with the text around them."""
@@ -90,11 +101,21 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
         if not _name(value):
             continue
         if SENSITIVE.search(text, min(name, max(0, start - NEAR)), start) or SENSITIVE.search(text, end, end + NEAR):
-            around = text[max(0, start - CONTEXT):start] + text[end:end + CONTEXT]
+            before, after = text[max(0, start - CONTEXT - len(value)):start], text[end:end + CONTEXT + len(value)]
+            if not _wordy(value):  # copies close by must not make it cheap
+                blank = " " * len(value)
+                before, after = before.replace(value, blank), after.replace(value, blank)
+            around = before[-CONTEXT:] + after[:CONTEXT]
             out.append({"value": value, "around": around, "start": start, "end": end})
     return out
 
 
+def names_in(text: str, base: list[tuple[str, int, int]], found: list[dict]) -> set[str]:
+    """Long names made of words that the text holds outside base matches, and nowhere as a candidate."""
+    names = {text[s:e] for _, s, e in pieces(text) if _name(text[s:e]) and _wordy(text[s:e])}
+    return names - {text[s:e] for _, s, e in base} - {f["value"] for f in found}
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     item = pa.struct([("value", pa.string()), ("around", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -105,14 +126,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text)
             base.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans])
             found.append(candidates(text, spans))
-            names.append(sorted({text[s:e] for _, s, e in pieces(text) if _name(text[s:e])} - {text[s:e] for _, s, e in spans}))
+            names.append(sorted(names_in(text, spans, found[-1])))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(item)), pa.array(names, pa.list_(pa.string()))],
             names=["doc_id", "digest", "base", "found", "names"])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: base spans, candidates with their surroundings, and long names in the text."""
+    """One row per row of ``docs``: base spans, candidates with their surroundings, and long names made of words in the text."""
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("digest"))
     return picked.mapInArrow(_scan, "doc_id long, digest string, base array<struct<kind:string,start:int,end:int>>, "
                                     "found array<struct<value:string,around:string,start:int,end:int>>, names array<string>")
@@ -121,8 +142,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def identifier_dictionary(scanned: DataFrame, size: int = 2000, texts: int = 3) -> bytes:
     """The ``size`` long names that the most different texts hold, the commonest last, where a compressor finds them best.
 
-    Counted over all rows: per name the distinct digests of the texts, so copies of one text count once. A name needs
-    ``texts`` different ones, so a secret of one document or of its copies never becomes part of it.
+    Counted over all rows: per name the distinct digests of the texts, so exact copies of one text count once (near copies
+    count each). Only names made of words count, in texts where they stand in no sensitive place; so neither a random
+    string nor a value that stands in sensitive places alone becomes part of it, however many texts hold it.
     """
     pairs = scanned.select("digest", F.explode("names").alias("name")).distinct()
     top = pairs.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= texts).orderBy(F.desc("n"), "name").limit(size).collect()
@@ -155,7 +177,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, digest, base, extra`` for every row: exact base spans, and novel strings in sensitive places.
 
     A candidate is reported if its marginal compressed size is at least ``novelty`` bytes per character: random base-64
-    text needs 0.75 and more, words, paths and numbers that the surroundings or the dictionary repeat need far less.
+    text needs 0.75 and more, words and paths that the surroundings or the dictionary repeat need far less. A reused secret
+    is reported at each of its places: it is not in the dictionary, and its copies are not among its surroundings.
 
     Null text counts as empty and has no spans. Repeated rows are judged each, alike. Null ids stay null. Empty tables
     give no rows; other columns are not read.

@@ -324,6 +324,21 @@ def test_secret_values_joined_to_their_names():
     assert len(list(secret_scan.pieces("a=" * 100_000 + "key_" * 100_000 + "=" * 100_000))) == 1
 
 
+@pytest.mark.parametrize("alphabet", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"])
+def test_reused_secrets_are_reported(spark, alphabet):
+    rng = random.Random(7)
+    near, passage, files, url, twice = ("".join(rng.choice(alphabet) for _ in range(40)) for _ in range(5))
+    filler = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.choice('lmnprst')}" for _ in range(30)]
+    rows = [(i, " ".join(filler[:20] + [f"copy{i}"] + filler[20:] + [f"credential is {near} ok"])) for i in range(5)]
+    rows += [(10 + i, f"{'part ' * i} of file {i * 7919} shared passage: login {passage} and {filler[i]}") for i in range(5)]
+    rows += [(20 + i, f"DB_PWD={files}" if i < 5 else f"lovely {filler[i]} weather {files} ok {i}") for i in range(9)]
+    rows += [(30 + i, f"see https://a.org/x{i} and /get/{url} {filler[i]}") for i in range(5)] + [(40, f"auth={url}"), (50, f"auth={twice} auth={twice}")]
+    want = dict.fromkeys(range(5), [near]) | dict.fromkeys(range(10, 15), [passage]) | dict.fromkeys(range(20, 25), [files]) | {40: [url], 50: [twice] * 2}
+    found = {r.doc_id: r.extra for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert {i: [texts[i][s.start:s.end] for s in x] for i, x in found.items() if x} == want
+
+
 def test_span_operators_odd_rows(spark, odd, empty):
     for find in (pii.find_pii, secret_scan.find_secrets):
         assert find(odd).count() == odd.count() and find(empty).count() == 0
