@@ -246,6 +246,28 @@ def spans(spark: SparkSession, sf: str) -> DataFrame:
         F.timestamp_seconds(F.unix_seconds(start) + 1).alias("end"))
 
 
+def all_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """A span per hop that each order reached, whatever became of it, in the shape and times of ``spans``.
+
+    Every order is created and paid for or refused, and inventory looks at every payment event. What it reserves is shipped;
+    what is out of stock is compensated, and inventory sees the refund too, which shares the topic of payments.
+    """
+    hops = ["order.create", "payment.process", "inventory.reserve"]
+    tail = F.when(R.is_out_of_stock(F.col("order_id")), F.array(F.lit("payment.compensate"), F.lit("inventory.reserve"))).when(
+        F.col("status") == "succeeded", F.array(F.lit("shipping.create"))).otherwise(F.array().cast("array<string>"))
+    reached = F.concat(F.array(*[F.lit(h) for h in hops]), tail)
+    created = orders(spark, sf).select("order_no", "order_id", "ts", "total", F.lit(None).cast("array<struct<sku:string,qty:int>>").alias("items"))
+    each = to_payments(created, "ts", extra=("order_no", "ts")).select("order_no", "order_id", "ts", F.posexplode(reached).alias("hop", "name"))
+    start = F.timestamp_seconds(F.unix_seconds("ts") + F.col("hop") * 2 + F.when(F.col("hop") >= 3, F.col("order_no") % 7)
+                                .otherwise(F.lit(0)))
+    return each.filter(~((F.col("order_no") % 200 == 0) & (F.col("hop") == 0))).select(
+        F.concat(F.lit("trace-"), F.col("order_id")).alias("trace_id"),
+        F.concat_ws("/", "order_id", F.col("hop").cast("string")).alias("span_id"),
+        F.when(F.col("hop") > 0, F.concat_ws("/", "order_id", (F.col("hop") - 1).cast("string"))).alias("parent_span_id"),
+        F.concat(F.substring_index("name", ".", 1), F.lit("-service")).alias("service"), "name", start.alias("start"),
+        F.timestamp_seconds(F.unix_seconds(start) + 1).alias("end"))
+
+
 def transactional(log: DataFrame) -> DataFrame:
     """A log with transactions: data at even offsets, the control record after it.
 

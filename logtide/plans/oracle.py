@@ -120,13 +120,22 @@ VIEWS: dict[str, str] = {
                ts + to_seconds(CAST(hop * 2 + CASE WHEN hop = 3 THEN order_no % 7 ELSE 0 END AS BIGINT)) AS start_at
         FROM f_orders, (SELECT unnest([0, 1, 2, 3]) AS hop) h
         WHERE scenario = 'happy' AND NOT (order_no % 200 = 0 AND hop = 0)""",
+    "f_all_spans": """
+        SELECT order_no, hop, 'trace-' || order_id AS trace_id, order_id || '/' || hop AS span_id,
+               CASE WHEN hop > 0 THEN order_id || '/' || (hop - 1) END AS parent_span_id, name,
+               ts + to_seconds(CAST(hop * 2 + CASE WHEN hop > 2 THEN order_no % 7 ELSE 0 END AS BIGINT)) AS start_at
+        FROM f_orders JOIN (VALUES
+            ('happy', 3, 'shipping.create'), ('transient-fail', 3, 'shipping.create'), ('out-of-stock', 3, 'payment.compensate'),
+            ('out-of-stock', 4, 'inventory.reserve'), (NULL, 0, 'order.create'), (NULL, 1, 'payment.process'),
+            (NULL, 2, 'inventory.reserve')) h(only_for, hop, name) ON only_for IS NULL OR only_for = scenario
+        WHERE NOT (order_no % 200 = 0 AND hop = 0)""",
 }
 
 _NEEDS = {
     "f_log_orders": ["f_orders"], "f_payments": ["f_orders"], "f_payment_events": ["f_payments"],
     "f_log_payments": ["f_payment_events"], "f_deliveries": ["f_log_orders"], "f_skewed_placed": ["f_skewed"],
     "f_log_ends": ["f_log_orders"], "f_offsets": ["f_log_ends"], "f_deltas": ["f_metrics"],
-    "f_increase": ["f_deltas"], "f_spans": ["f_orders"],
+    "f_increase": ["f_deltas"], "f_spans": ["f_orders"], "f_all_spans": ["f_orders"],
 }
 
 

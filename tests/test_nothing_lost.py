@@ -1,14 +1,18 @@
 """Records that an operator cannot use are returned or shown, never dropped."""
 
 import datetime as dt
+import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import types as T
 
 from logtide import schemas as S
 from logtide.operators import decode, partitions, stages
+from logtide.plans import QUERIES
 from logtide.plans.delivering import payment_effects
 from logtide.sinks.tables import gated_append
+from logtide.sources.tables import table
 
 
 def test_unread_versions_and_undeclared(spark):
@@ -59,3 +63,15 @@ def test_order_sent_again_has_its_own_outbox_row(spark):
     fresh = spark.createDataFrame([("orders", 0, 1, value), ("orders", 0, 9, value)], "topic string, partition int, offset long, value string")
     ids = [r.id for r in payment_effects(fresh.selectExpr("*", "timestamp'2026-01-01 00:00:00' AS timestamp"))["outbox"].collect()]
     assert len(ids) == len(set(ids)) == 2
+
+
+def test_every_order_has_a_trace_and_every_reserved_order_its_items(spark, sf):
+    """By counts over the tables alone: spans per scenario, and items of what is reserved."""
+    hops = {0: 4, 1: 3, 2: 5, 3: 4, 4: 3}
+    keys = [r.o_orderkey for r in table(spark, sf, "orders").select("o_orderkey").collect()]
+    spans = {r[0]: r[1] for r in QUERIES["trace_tree_all"].plan(spark, sf).groupBy("trace_id").count().collect()}
+    assert sorted((int(t.rsplit("-", 1)[1]), n) for t, n in spans.items()) == sorted((k, hops[k % 5] - (k % 200 == 0)) for k in keys)
+    items = {r.order_id: len(json.loads(r["items"])) for r in QUERIES["pipe_inventory_items"].plan(spark, sf).collect()}
+    lines = Counter(r.l_orderkey for r in table(spark, sf, "lineitem").select("l_orderkey").collect())
+    assert {int(k.rsplit("-", 1)[1]): n for k, n in items.items()} == {k: lines[k] for k in keys if k % 5 in (0, 3)}
+    assert sum(items.values()) > 0
