@@ -1,6 +1,7 @@
 """Streams: same results as batch, restart, crash windows, replay, late data, bounded batches."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -313,6 +314,23 @@ def test_progress_becomes_metric_samples(spark, orders_log, tmp_path):
     assert listener.drain(spark).count() == 0
 
 
+def test_no_progress_sample_is_dropped(spark):
+    listener, events = ProgressMetrics(), 17_000
+    for i in range(events):
+        state = SimpleNamespace(numRowsTotal=1, numRowsDroppedByWatermark=i % 2)
+        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
+            name="q", id=1, runId=2, batchId=i, numInputRows=i, inputRowsPerSecond=float("nan"), processedRowsPerSecond=None,
+            timestamp="2026-01-01T00:00:00.000Z", stateOperators=[state])))
+    samples = listener.drain(spark)
+    got = {r.name: tuple(r)[1:] for r in samples.groupBy("name").agg(F.count("*"), F.sum("value")).collect()}
+    assert sum(n for n, _ in got.values()) == 6 * events > 100_000
+    assert got["stream_input_rows"] == got["stream_batch_id"] == (events, events * (events - 1) / 2)
+    assert got["stream_late_rows_dropped"] == (events, events / 2)
+    first = samples.filter("name = 'stream_batch_id' AND value = 0").first()
+    assert first.labels == {"query": "q", "run": "2"} and first.ts is not None
+    assert listener.drain(spark).count() == 0
+
+
 def test_state_is_evicted_behind_the_join_window(spark, tmp_path):
     """State rows at the end follow the width of the join window, not the length of the stream."""
     schema = "k string, ts timestamp"
