@@ -146,6 +146,7 @@ def count_words(seed: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             names, (lang, code, check) = list(words.langs), (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             order = np.lexsort((check, code, lang))
             lang, code, check = lang[order], code[order], check[order]
             at = np.nonzero(np.append(True, (np.diff(lang) != 0) | (np.diff(code) != 0) | (np.diff(check) != 0)))[0]
@@ -163,12 +164,13 @@ def count_words(seed: int):
                 size += len(codes)
                 if size >= FLUSH_WORDS:
                     yield from flush()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield from flush()
     return run
 
 
+WHOLE = -1
 STRIPE = "p1 long, p2 long, p3 long, segment int, next binary, counts binary, word string"
 
 
@@ -199,12 +201,13 @@ def _stripe_rows(prefix: list[np.ndarray], nxt: np.ndarray, segment: np.ndarray)
 
 
 def _segments(firsts: np.ndarray, nxt: np.ndarray, hot_codes: np.ndarray, hot_parts: np.ndarray) -> np.ndarray:
-    """The segment of each next word: prefixes that a large share of the text has are cut into several by next word."""
+    """The segment of each next word: prefixes that a large share of the text has are cut into several by next word, others
+    stay whole (``WHOLE``)."""
     if not len(hot_codes):
-        return np.zeros(len(nxt), np.int32)
+        return np.full(len(nxt), WHOLE, np.int32)
     at = np.minimum(np.searchsorted(hot_codes, firsts), len(hot_codes) - 1)
-    parts = np.where(hot_codes[at] == firsts, hot_parts[at], 1).astype(np.uint64)
-    return (mix64(nxt.view(np.uint64)) % parts).astype(np.int32)
+    parts = np.where(hot_codes[at] == firsts, hot_parts[at], 1)
+    return np.where(parts > 1, (mix64(nxt.view(np.uint64)) % parts.astype(np.uint64)).astype(np.int32), WHOLE)
 
 
 def make_stripes(seed: int, known, hot_codes: np.ndarray, hot_parts: np.ndarray, long_prefix: bool):
@@ -231,6 +234,7 @@ def make_stripes(seed: int, known, hot_codes: np.ndarray, hot_parts: np.ndarray,
             prefix, nxt, hot = (list(x) for x in zip(*held, strict=True))
             prefix = [np.concatenate(x) for x in zip(*prefix, strict=True)]
             nxt = np.concatenate(nxt)
+            held.clear()
             yield from _stripe_rows(prefix, nxt, _segments(np.concatenate(hot), nxt, hot_codes, hot_parts))
 
         for batch in batches:
@@ -255,23 +259,23 @@ def make_stripes(seed: int, known, hot_codes: np.ndarray, hot_parts: np.ndarray,
                     size += len(found[1])
                 if size >= FLUSH_WORDS:
                     yield from flush()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield from flush()
     return run
 
 
-MERGED = "p1 long, p2 long, p3 long, next long, n long"
+MERGED = "p1 long, p2 long, p3 long, next long, n long, word string"
 
 
 def merge_stripes(min_count: int, totals: bool):
     """Merges the stripes of a prefix and segment element by element, in partitions sorted by both.
 
-    Gives entries that reach ``min_count`` and, with ``totals``, one row per stripe with its sum and no next word. What a
-    batch leaves open is merged before the next one is read.
+    Gives entries that reach ``min_count`` and, with ``totals``, one row with its sum and no next word per stripe that may
+    reach it; spellings pass through. What a batch leaves open is merged before the next one is read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["p1", "p2", "p3", "next", "n"]
+        names = ["p1", "p2", "p3", "next", "n", "word"]
 
         def merged(keys, nxt, n):
             order = np.lexsort((nxt, *keys[::-1]))
@@ -285,17 +289,29 @@ def merge_stripes(min_count: int, totals: bool):
 
         def out(keys, nxt, n):
             keep = (n >= min_count) & (nxt != 0)
-            yield pa.RecordBatch.from_arrays([*(pa.array(k[keep]) for k in keys[:3]), pa.array(nxt[keep]), pa.array(n[keep])], names=names)
+            none = pa.nulls(int(keep.sum()), pa.string())
+            yield pa.RecordBatch.from_arrays([*(pa.array(k[keep]) for k in keys[:3]), pa.array(nxt[keep]), pa.array(n[keep]), none], names=names)
             if totals:
                 moved = np.zeros(len(nxt), bool)
                 moved[0] = True
                 for k in keys:
                     moved[1:] |= k[1:] != k[:-1]
                 at = np.nonzero(moved)[0]
-                yield pa.RecordBatch.from_arrays([*(pa.array(k[at]) for k in keys[:3]), pa.nulls(len(at), pa.int64()), pa.array(np.add.reduceat(n, at))], names=names)
+                sums = np.add.reduceat(n, at)
+                may = (sums >= min_count) | (keys[3][at] != WHOLE)
+                at, none = at[may], pa.nulls(int(may.sum()), pa.string())
+                yield pa.RecordBatch.from_arrays([*(pa.array(k[at]) for k in keys[:3]), none.cast(pa.int64()), pa.array(sums[may]), none], names=names)
 
         rest = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            spelled = batch.column(6).is_valid()
+            if spelled.true_count:
+                known = batch.filter(spelled)
+                none = pa.nulls(known.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*known.columns[:3], none, none, known.column(6)], names=names)
+                batch = batch.filter(batch.column(6).is_null())
             if not batch.num_rows:
                 continue
             blobs, counts = batch.column(4), batch.column(5)
@@ -319,7 +335,7 @@ def merge_stripes(min_count: int, totals: bool):
 def _merge(stripes: DataFrame, min_count: int, totals: bool) -> DataFrame:
     """All stripes of a prefix and segment in one task."""
     keys = ["p1", "p2", "p3", "segment"]
-    return stripes.select(*keys, "next", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge_stripes(min_count, totals), MERGED)
+    return stripes.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merge_stripes(min_count, totals), MERGED)
 
 
 def _hot(counts: DataFrame, code: Column, total: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -355,10 +371,11 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, seeds: int = 4) -
     if not n_frequent:
         return spark.createDataFrame([], schema), in_lang, spark.createDataFrame([], "code long, lang string, word string")
     known = spark.sparkContext.broadcast(bit_filter(words.select("code"), n_frequent))
-    stripes = written(texts.mapInArrow(make_stripes(seed, known, *_hot(words, F.col("code"), total, spread), False), STRIPE), "stripes")
-    spelling = stripes.where("word IS NOT NULL").groupBy(F.col("p1").alias("code")).agg(F.min("word").alias("word"))
+    stripes = texts.mapInArrow(make_stripes(seed, known, *_hot(words, F.col("code"), total, spread), False), STRIPE)
+    merged = written(_merge(stripes, min_count, False).select("p1", "next", "n", "word"), "pairs")
+    spelling = merged.where("word IS NOT NULL").groupBy(F.col("p1").alias("code")).agg(F.min("word").alias("word"))
     spelling = words.join(spelling, "code").select("code", "lang", "word")
-    pairs = written(_merge(stripes.where("word IS NULL"), min_count, False).select("p1", "next", "n"), "pairs")
+    pairs = merged.where("word IS NULL").select("p1", "next", "n")
     coded = pairs.mapInArrow(_pair_rows, "code long, n long")
     n_pairs = pairs.count()
     phrases = words.select(F.array("code").alias("w"), F.col("n").alias("a")).union(pairs.select(F.array("p1", "next"), "n"))

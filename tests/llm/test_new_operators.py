@@ -203,7 +203,7 @@ def test_stripes_merge_across_batches_and_segments():
                 rows += b.to_pylist()
     rows.sort(key=lambda r: (r["p1"], r["p2"], r["p3"], r["segment"]))
     assert {r["segment"] for r in rows if r["p1"] == 2} == {0, 1, 2, 3}
-    schema = pa.schema([("p1", pa.int64()), ("p2", pa.int64()), ("p3", pa.int64()), ("segment", pa.int32()), ("next", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("p1", pa.int64()), ("p2", pa.int64()), ("p3", pa.int64()), ("segment", pa.int32()), ("next", pa.binary()), ("counts", pa.binary()), ("word", pa.string())])
     batches = [pa.RecordBatch.from_pylist([{k: r[k] for k in schema.names} for r in rows[i:i + 13]], schema) for i in range(0, len(rows), 13)]
     merged = [r for b in collocations.merge_stripes(20, True)(iter(batches)) for r in b.to_pylist()]
     pairs = Counter(zip(prefix.tolist(), nxt.tolist(), strict=True))
@@ -213,6 +213,9 @@ def test_stripes_merge_across_batches_and_segments():
         if r["next"] is None:
             sums[r["p1"]] += r["n"]
     assert sums == Counter(prefix.tolist())
+    rare = [pa.RecordBatch.from_pylist([r for r in rows if r["p1"] == 2 or r["p1"] == 5][:9], schema)]
+    left = [r for b in collocations.merge_stripes(10 ** 6, True)(iter(rare)) for r in b.to_pylist()]
+    assert left and {r["p1"] for r in left} == {2}  # parts of a stripe stay, whole ones below the count go
 
 
 def test_collocations_empty(spark):
