@@ -140,17 +140,18 @@ def payment_effects(fresh: DataFrame) -> dict[str, DataFrame]:
            1 AS ledger_rows, 1 AS outbox_rows
     FROM f_log_orders""", ("f_log_orders",))
 def batched_idempotent(spark: SparkSession, sf: str) -> DataFrame:
-    """Micro-batches in which redelivered records come again one batch later."""
+    """Micro-batches of neighbouring offsets in which redelivered records come again one batch later."""
     log = D.log_orders(spark, sf)
     store = CommitStore(spark, scratch_path(spark, "batched"), effects_schema())
     apply = idempotent_batch(store, payment_effects, seq="delivery_seq")
-    # First copies are dealt over the batches; a second copy comes one batch after its first.
-    delivered = D.deliveries(log).withColumn("_b", F.col("offset") % BATCHES + F.col("delivery_seq") - 1)
+    size = -(-(log.agg(F.max("offset")).first()[0] + 1) // BATCHES)
+    delivered = D.with_batch(D.deliveries(log), size)
     for batch_id in range(BATCHES + 1):
-        apply(delivered.filter(F.col("_b") == batch_id).drop("_b"), batch_id)
+        apply(delivered.filter(F.col("batch_id") == batch_id).drop("batch_id"), batch_id)
     state = V.payments_state(store.committed("payments"), ["partition", "offset"])
     outbox = store.committed("outbox").groupBy(F.col("aggregateid").alias("order_id")).agg(F.count("*").cast("int").alias("outbox_rows"))
-    ledger = store.committed("ledger").join(log.select("key", *V.DELIVERY), V.DELIVERY).groupBy(F.col("key").alias("order_id")).agg(
+    applied = store.committed("ledger").select("topic", "partition", F.explode(F.sequence("from_offset", "to_offset")).alias("offset"))
+    ledger = applied.join(log.select("key", *V.DELIVERY), V.DELIVERY).groupBy(F.col("key").alias("order_id")).agg(
         F.count("*").cast("int").alias("ledger_rows"))
     return state.join(outbox, "order_id").join(ledger, "order_id").select(
         "order_id", F.round("amount", 2).alias("amount"), "status", "retry_attempts", "ledger_rows", "outbox_rows")
@@ -208,26 +209,25 @@ def latest_by_offset_query(spark: SparkSession, sf: str) -> DataFrame:
     return latest_view(spark, sf).withColumn("amount", F.round("amount", 2))
 
 
-def latest_view(spark: SparkSession, sf: str) -> DataFrame:
-    rows = D.log_payments(spark, sf).select(
+def payment_values(log: DataFrame) -> DataFrame:
+    return log.select(
         F.col("key").alias("order_id"), F.get_json_object("value", "$.status").alias("status"),
         F.get_json_object("value", "$.amount").cast("double").alias("amount"), "partition", "offset")
-    return V.latest_by_offset(rows, "order_id", ["status", "amount"], ["partition", "offset"])
+
+
+def latest_view(spark: SparkSession, sf: str) -> DataFrame:
+    return V.latest_by_offset(payment_values(D.log_payments(spark, sf)), "order_id", ["status", "amount"], ["partition", "offset"])
 
 
 @query("pull_lookup", """
     SELECT order_id, 'refunded' AS status, round(amount, 2) AS amount FROM f_payments WHERE scenario = 'out-of-stock'""",
        ("f_payments",))
 def pull_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Current payment state of the orders that asked for compensation, from the maintained table."""
-    log = D.log_payments(spark, sf).select(
-        F.col("key").alias("order_id"), F.get_json_object("value", "$.status").alias("status"),
-        F.get_json_object("value", "$.amount").cast("double").alias("amount"), "partition", "offset")
-    view = LatestTable(spark, scratch_path(spark, "latest"), "order_id", {"status": T.StringType(), "amount": T.DoubleType()})
-    write = view.batch_writer()
-    for batch_id in range(2):
-        write(log.filter(F.col("partition") % 2 == batch_id), batch_id)
-    return lookup(view.current(), "order_id", D.compensation(spark, sf)).withColumn("amount", F.round("amount", 2))
+    """Current payment state of the orders that asked for compensation, from the state of the running aggregate."""
+    D.log_payments(spark, sf)
+    table = LatestTable(spark, scratch_path(spark, "latest"), "order_id", {"status": T.StringType(), "amount": T.DoubleType()})
+    table.run(payment_values(D.as_stream(spark, sf, "log-payments", max_files_per_trigger=4)))
+    return lookup(table.current(), "order_id", D.compensation(spark, sf)).withColumn("amount", F.round("amount", 2))
 
 
 @query("payments_state", """

@@ -34,6 +34,12 @@ def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return read_log(spark, _logs[slot])
 
 
+def as_stream(spark: SparkSession, sf: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A derived log that is stored already, as a stream over its files."""
+    path = _logs[(spark.sparkContext.applicationId, sf, name)]
+    return read_log(spark, path, streaming=True, max_files_per_trigger=max_files_per_trigger)
+
+
 def order_no(order_id: str = "order_id") -> Column:
     return F.substring_index(F.col(order_id), "-", -1).cast("bigint")
 

@@ -18,7 +18,9 @@ from logtide.sinks.tables import codec_footprint, write_clustered, write_with_qu
 from logtide.sources.files import raw_landing
 from logtide.sources.incremental import incremental_read
 from logtide.sources.tables import table
-from logtide.streaming.jobs import ingest_events
+from logtide.sources.tail import LINES, tail_lines
+from logtide.streaming.jobs import drain, ingest_events
+from logtide.streaming.polling import Polling
 
 
 @query("log_scan", """
@@ -106,6 +108,43 @@ def incremental_query(spark: SparkSession, sf: str) -> DataFrame:
     return first.select(F.lit(1).alias("poll"), "*").unionByName(second.select(F.lit(2).alias("poll"), "*"))
 
 
+@query("incremental_stream", """
+    , mark AS (SELECT o_orderdate AS d FROM orders ORDER BY o_orderkey LIMIT 1)
+    SELECT CASE WHEN o_orderdate < d OR (o_orderdate = d AND o_orderkey % 3 <> 0) THEN 0 ELSE 1 END AS poll, o_orderkey,
+           round(o_totalprice, 2) AS total
+    FROM orders, mark WHERE o_orderdate IS NOT NULL""", ("f_orders",))
+def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders by date, a cursor that many rows share, polled by a process that ends after each poll.
+
+    At the first poll the table ends at one date, of which every third order is missing; these come later, with the dates
+    behind it.
+    """
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    d = F.lit(o.orderBy("o_orderkey").first().o_orderdate)
+    early = o.filter((F.col("o_orderdate") < d) | (F.col("o_orderdate") == d) & (F.col("o_orderkey") % 3 != 0))
+    root = scratch_path(spark, "polls")
+    for poll, there in enumerate((early, o, o)):
+        Polling(spark, root, lambda there=there: there, "o_orderdate", "o_orderkey").poll(None, poll)
+    got = Polling(spark, root, lambda: o, "o_orderdate", "o_orderkey").rows()
+    return got.select(F.col("batch_id").cast("int").alias("poll"), "o_orderkey", F.round("o_totalprice", 2).alias("total"))
+
+
+@query("tail_lines", """
+    SELECT doc_id, strlen(line) AS line_bytes, sha256(line) AS line_sha256
+    FROM (SELECT doc_id, doc_id || chr(9) || regexp_replace(coalesce(text, ''), '[\n\r]', ' ', 'g') AS line FROM documents)""")
+def tail_lines_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as lines of files, taken by a stream that ends and starts again after more files were written."""
+    d = table(spark, sf, "documents")
+    line = F.concat(F.col("doc_id").cast("string"), F.lit("\t"), F.regexp_replace(F.coalesce("text", F.lit("")), "[\n\r]", " "))
+    lines, root = d.select("doc_id", line.alias("value")), scratch_path(spark, "lines")
+    for half in range(2):
+        lines.filter(F.coalesce(F.pmod("doc_id", F.lit(2)), F.lit(0)) == half).select("value").write.mode("append").text(f"{root}/files")
+        drain(tail_lines(spark, f"{root}/files", pathGlobFilter="*.txt"), f"{root}/table", f"{root}/checkpoint")
+    got = spark.read.schema(LINES).parquet(f"{root}/table")
+    return got.select(F.substring_index("line", "\t", 1).cast("bigint").alias("doc_id"), F.octet_length("line").cast("bigint").alias("line_bytes"),
+                      F.sha2("line", 256).alias("line_sha256"))
+
+
 @query("raw_landing", """
     SELECT 'documents' AS topic, CAST(doc_id % 4 AS INTEGER) AS "partition", doc_id // 4 AS "offset",
            CAST(strlen(text) AS BIGINT) AS raw_bytes, sha256(text) AS raw_sha256

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logtide.operators.delivery import latest_by_offset, relay
+from logtide.operators.delivery import relay
 from logtide.streaming.commits import CommitStore
 
 
@@ -32,26 +32,57 @@ def follow(stream: DataFrame, sink, checkpoint: str, every: str = "10 seconds",
     return (writer.foreachBatch(sink) if callable(sink) else writer.format("parquet").option("path", sink)).start()
 
 
-def push(stream: DataFrame, limit: int, path: str, checkpoint: str, every: str = "1 second") -> None:
-    """Push query with a LIMIT: emit results as they come and stop once ``limit`` rows are out.
+class LimitedPush:
+    """Rows of a push query up to a LIMIT, with the number still to emit in the commit marker's place, not in the driver.
 
-    Every batch is computed whole, as stateful streams require, and cut when it is written.
+    Each batch writes its share of the limit, and the total so far, under its id; a retry after a crash overwrites its own
+    share, and a restarted query goes on from the total of the last committed batch. ``order`` decides which rows of a batch
+    are taken when not all are, so that a retry takes the same ones; it needs to be unique for that.
     """
-    left = limit
 
-    def emit(batch: DataFrame, batch_id: int) -> None:
-        nonlocal left
-        batch.persist()
-        size = batch.count()
-        if left > 0 and size > 0:
-            batch.limit(left).write.mode("append").parquet(path)
-            left -= min(size, left)
-        batch.unpersist()
-
-    query = follow(stream, emit, checkpoint, every)
-    while left > 0 and not query.awaitTermination(1):
-        pass
-    query.stop()
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, limit: int, order: list[str], crash=None):
+        self.limit, self.order, self.crash = limit, order, crash
+        total = T.StructType([T.StructField("emitted", T.LongType())])
+        self.store = CommitStore(spark, root, {"rows": schema, "total": total})
+
+    def emitted(self, before: int | None = None) -> int:
+        """Rows emitted by committed batches, from the newest of them alone; of those before a batch if it is given."""
+        if before:
+            last = self.store.of_batches("total", [before - 1]).first()
+            if last is not None and self.store.is_committed(before - 1):
+                return last.emitted
+        return self.store.committed("total", before).agg(F.max("emitted")).first()[0] or 0
+
+    def emit(self, batch: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` function. Every batch is computed whole, as stateful streams require, and cut when it is written."""
+        if self.store.is_committed(batch_id):
+            return
+        done = self.emitted(batch_id)
+        share = batch.orderBy(*self.order).limit(max(0, self.limit - done))
+        self.store._write(share, "rows", batch_id)
+        written = self.store.of_batches("rows", [batch_id]).count()
+        if self.crash:
+            self.crash("before-marker")
+        spark = batch.sparkSession
+        self.store.commit(batch_id, {"total": spark.range(1).select(F.lit(done + written).cast("long").alias("emitted")).coalesce(1)})
+        if self.crash:
+            self.crash("after-marker")
+
+    def rows(self) -> DataFrame:
+        return self.store.committed("rows").drop("batch_id")
+
+
+def push(stream: DataFrame, limit: int, path: str, checkpoint: str, order: list[str], every: str = "1 second", crash=None) -> DataFrame:
+    """Push query with a LIMIT: emit results as they come and stop once ``limit`` rows are out, over restarts too."""
+    out = LimitedPush(stream.sparkSession, path, stream.schema, limit, order, crash)
+    if out.emitted() < limit:
+        query = follow(stream, out.emit, checkpoint, every)
+        try:
+            while not query.awaitTermination(1) and out.emitted() < limit:
+                pass
+        finally:
+            query.stop()
+    return out.rows()
 
 
 def typed_events(events: DataFrame) -> DataFrame:
@@ -93,43 +124,41 @@ def recent_distinct(log: DataFrame, at: str, horizon: str) -> DataFrame:
 
 
 class LatestTable:
-    """Materialised latest values per key, kept as per-batch folds over a ``CommitStore``.
+    """Latest value of each column per key, held in the state of a streaming aggregate and read from its checkpoint.
 
-    A batch adds one small row per key and column that it touched; reading folds those
-    again, so the table grows with the keys touched per batch, not with the records.
+    A pull query asks the state store, which has one row per key, so its cost follows the number of keys and not the
+    number of batches. Each column is folded on its own: the newest value that is not null.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, values: dict[str, T.DataType]):
-        self.key, self.values = key, list(values)
-        fields = [T.StructField(key, T.StringType()), T.StructField("part", T.IntegerType()),
-                  T.StructField("off", T.LongType())]
-        self.store = CommitStore(spark, root, {
-            "latest": T.StructType(fields + [T.StructField(v, t) for v, t in values.items()])})
-
-    def _fold(self, rows: DataFrame) -> DataFrame:
-        """Latest non-null value of each column, as one row per (key, position of a value)."""
-        at = F.struct("part", "off")
-        newest = rows.groupBy(self.key).agg(*[
-            F.max(F.when(F.col(v).isNotNull(), F.struct(at.alias("at"), F.col(v).alias("v")))).alias(v)
-            for v in self.values])
-        parts = F.array(*[
-            F.struct(F.col(f"{v}.at.part").alias("part"), F.col(f"{v}.at.off").alias("off"),
-                     *[(F.col(f"{v}.v") if w == v else F.lit(None)).cast(self.store.schemas["latest"][w].dataType).alias(w)
-                       for w in self.values])
-            for v in self.values])
-        return newest.select(self.key, F.inline(parts)).filter(F.col("off").isNotNull())
-
-    def batch_writer(self):
-        """``foreachBatch`` function over rows (key, partition, offset, values...)."""
-        def write(batch: DataFrame, batch_id: int) -> None:
-            if self.store.is_committed(batch_id):
-                return
-            rows = batch.select(self.key, F.col("partition").alias("part"), F.col("offset").alias("off"), *self.values)
-            self.store.commit(batch_id, {"latest": self._fold(rows)})
-        return write
-
-    def current(self) -> DataFrame:
-        return latest_by_offset(self.store.committed("latest"), self.key, self.values, ["part", "off"])
+    def __init__(self, spark: SparkSession, checkpoint: str, key: str, values: dict[str, T.DataType]):
+        self.spark, self.checkpoint, self.key, self.values = spark, checkpoint.rstrip("/"), key, values
+
+    def fold(self, rows: DataFrame) -> DataFrame:
+        """The aggregate over rows (key, partition, offset, values...); on a stream, its state is the table."""
+        at = F.struct("partition", "offset")
+        return rows.groupBy(self.key).agg(*[
+            F.max(F.when(F.col(v).isNotNull(), F.struct(at.alias("at"), F.col(v).alias(v)))).alias(v) for v in self.values])
+
+    def run(self, rows: DataFrame) -> StreamingQuery:
+        """Fold all rows that are there now into the state; nothing else is written."""
+        return drain(self.fold(rows), lambda batch, batch_id: batch.write.format("noop").mode("overwrite").save(), self.checkpoint, "update")
+
+    def current(self, **options: str) -> DataFrame:
+        """``key, values...`` as of the last committed batch, or of ``batchId`` among the options."""
+        state = self.spark.read.format("statestore").options(**options).load(self.checkpoint)
+        # The state holds one buffer per aggregate, in their order and under one name: told apart by position.
+        place = "struct<`partition`:int,`offset`:bigint>"
+        cells = ",".join(f"`{v}`:struct<at:{place},v:{t.simpleString()}>" for v, t in self.values.items())
+        named = state.select(F.col("key").getField(self.key).alias(self.key), F.col("value").cast(f"struct<{cells}>").alias("_v"))
+        return named.select(self.key, *[F.col("_v").getField(v).getField("v").alias(v) for v in self.values])
+
+    def pull(self, value) -> DataFrame:
+        """The row of one key."""
+        return lookup_one(self.current(), self.key, value)
+
+    def state_metadata(self) -> DataFrame:
+        """Operators of the query with their state stores and the batches that can be read."""
+        return self.spark.read.format("state-metadata").load(self.checkpoint)
 
 
 def lookup(view: DataFrame, key: str, keys: DataFrame) -> DataFrame:
