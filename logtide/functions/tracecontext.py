@@ -31,3 +31,19 @@ def parent_of(context: Column) -> Column:
         F.struct(F.regexp_extract(context, TRACEPARENT_PATTERN, 1).alias("trace_id"),
                  F.regexp_extract(context, TRACEPARENT_PATTERN, 2).alias("parent_span_id")),
     )
+
+
+def root_of(seed: Column, hop: Column) -> Column:
+    """Context of the first span of a new trace: trace and span ids are derived from ``seed``, so a replay repeats them."""
+    trace = F.md5(F.concat_ws("/", F.lit("trace"), seed))
+    return traceparent(trace, F.substring(F.md5(F.concat_ws("/", trace, hop)), 1, 16))
+
+
+def child_of(context: Column, hop: Column) -> Column:
+    """Context of the work ``hop`` that a carried context caused: the same trace, a span id derived from (parent, hop).
+
+    Null where no usable context was carried; the caller opens a trace of its own then.
+    """
+    parent = parent_of(context)
+    span = F.substring(F.md5(F.concat_ws("/", parent.getField("parent_span_id"), hop)), 1, 16)
+    return F.when(parent.isNotNull(), traceparent(parent.getField("trace_id"), span))

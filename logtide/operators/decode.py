@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from logtide.functions import jsontext as J
+from logtide.operators.gate import IncompatibleSchema, common_type
 
 
 def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -146,6 +148,74 @@ def wire_header(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Writer:
+    """A schema that records were written with, and the reader's names for fields that it called otherwise."""
+
+    schema: T.StructType
+    renamed: dict[str, str] = field(default_factory=dict)  # reader's name -> writer's name
+
+
+def _resolution(writers: dict[int, Writer], reader: T.StructType, defaults: dict[str, Column]) -> list[Column]:
+    """The reader's fields as columns over ``schema_id`` and the parsed payload ``_v``; raises if a writer cannot be read."""
+    out, problems = [], []
+    for f in reader.fields:
+        ways = []
+        for sid, w in writers.items():
+            name = w.renamed.get(f.name, f.name)
+            if name in w.schema.fieldNames():
+                kind = w.schema[name].dataType
+                if common_type(kind, f.dataType) != f.dataType:
+                    problems.append(f"schema {sid}: {name} {kind.simpleString()} cannot be read as {f.name} {f.dataType.simpleString()}")
+                value = F.try_variant_get("_v", f"$.{name}", kind.simpleString()).cast(f.dataType)
+            elif f.name in defaults:
+                value = defaults[f.name].cast(f.dataType)
+            else:
+                if not f.nullable:
+                    problems.append(f"schema {sid}: no {f.name}, which has no default")
+                value = F.lit(None).cast(f.dataType)
+            ways.append((sid, value))
+        column = F.lit(None).cast(f.dataType)
+        for sid, value in ways:
+            column = F.when(F.col("schema_id") == sid, value).otherwise(column)
+        out.append(column.alias(f.name))
+    if problems:
+        raise IncompatibleSchema("; ".join(problems))
+    return out
+
+
+def read_framed(frames: DataFrame, writers: dict[int, Writer], reader: T.StructType, defaults: dict[str, Column] | None = None, body: str = "body") -> DataFrame:
+    """Binary frames to rows of the reader's schema in one pass: the other columns, ``schema_id, reject_reason`` and the fields.
+
+    The id in the frame picks the writer's schema. A field is found under its own or its former name, read with the
+    writer's type and promoted to the reader's; one that the writer lacks takes its default, or null. Whether this works
+    is decided before any record is read: a type that cannot be promoted without loss, or a required field that a writer
+    lacks and that has no default, raises ``IncompatibleSchema``.
+
+    A record that cannot be read keeps its other columns, has null fields, and tells why: ``not framed``, ``unknown schema``,
+    ``not JSON``, or ``misfit: <field>`` for a value that is not of the writer's type or a required one that is missing.
+    Every payload is parsed once, whatever the number of versions.
+    """
+    rest = [c for c in frames.columns if c != body]
+    fields = _resolution(writers, reader, defaults or {})
+    framed = wire_header(frames, body)
+    known = F.col("schema_id").isin(list(writers))
+    text = F.when(known, F.expr("CASE WHEN is_valid_utf8(CAST(payload AS STRING)) THEN CAST(payload AS STRING) END"))
+    parsed = computed_once(framed, _v=F.try_parse_json(text))
+    bad = []
+    for sid, w in writers.items():
+        for f in w.schema.fields:
+            got = F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString())
+            there = F.coalesce(F.schema_of_variant(F.try_variant_get("_v", f"$.{f.name}", "variant")) != "VOID", F.lit(False))
+            wrong = got.isNull() & (there if f.nullable else F.lit(True))
+            bad.append(F.when((F.col("schema_id") == sid) & wrong, F.lit(f"misfit: {f.name}")))
+    reason = (F.when(F.col("schema_id").isNull(), "not framed").when(~known, "unknown schema").when(F.col("_v").isNull(), "not JSON")
+              .otherwise(F.coalesce(*bad)))
+    judged = computed_once(parsed, reject_reason=reason)
+    good = F.col("reject_reason").isNull()
+    return judged.select(*rest, "schema_id", "reject_reason", *[F.when(good, c).alias(f.name) for c, f in zip(fields, reader.fields, strict=True)])
+
+
 class ErrorBudgetExceeded(RuntimeError):
     """A block of input had more broken records than its budget allows."""
 

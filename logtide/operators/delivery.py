@@ -136,16 +136,16 @@ def read_uncommitted(log: DataFrame, control: str = "control") -> DataFrame:
 
 
 def outbox_rows(events: DataFrame, aggregate_type: str, aggregate_id: str, event_type, payload,
-                delivery: tuple[str, ...] = ()) -> DataFrame:
+                delivery: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
     """Outbox rows for business events; the row id is derived, so a replay repeats it.
 
     ``delivery`` names the columns of the delivery that caused the event: an order sent again is another event with an id
-    of its own.
+    of its own. ``keep`` columns are carried along.
     """
     key = F.concat_ws("/", F.lit(aggregate_type), F.col(aggregate_id), event_type, *[F.col(c).cast("string") for c in delivery])
     return events.select(
         F.sha2(key, 256).alias("id"), F.lit(aggregate_type).alias("aggregatetype"),
-        F.col(aggregate_id).alias("aggregateid"), event_type.alias("type"), payload.alias("payload"))
+        F.col(aggregate_id).alias("aggregateid"), event_type.alias("type"), payload.alias("payload"), *keep)
 
 
 def relay(outbox: DataFrame, topic_template: str = "{aggregatetype}") -> DataFrame:

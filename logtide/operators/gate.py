@@ -22,11 +22,28 @@ class GateReport:
         return not self.breaking
 
 
-# Promotions a reader may apply to older data.
+# Promotions that keep every value: what a reader may apply to older data, and what a table may grow to.
 _WIDENS = {
-    ("int", "bigint"), ("int", "float"), ("int", "double"), ("bigint", "float"), ("bigint", "double"),
-    ("float", "double"), ("string", "binary"), ("binary", "string"),
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("tinyint", "float"), ("tinyint", "double"),
+    ("smallint", "int"), ("smallint", "bigint"), ("smallint", "float"), ("smallint", "double"),
+    ("int", "bigint"), ("int", "double"), ("float", "double"), ("string", "binary"), ("binary", "string"),
 }
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds all values of two numeric types, if one of them does; null for others that differ."""
+    x, y = a.simpleString(), b.simpleString()
+    if x == y or x in _NUMBERS and (y, x) in _WIDENS:
+        return a
+    return b if x in _NUMBERS and (x, y) in _WIDENS else None
+
+
+def fitted(new: T.StructType, old: T.StructType) -> T.StructType:
+    """``new`` as it can be stored beside ``old``: shared numeric columns in their common type, where there is one."""
+    before = {f.name: f.dataType for f in old.fields}
+    return T.StructType([
+        T.StructField(f.name, (common_type(before[f.name], f.dataType) if f.name in before else None) or f.dataType, f.nullable) for f in new.fields])
 
 
 def compare(old: T.StructType, new: T.StructType, defaults: frozenset[str] = frozenset()) -> GateReport:
@@ -72,22 +89,12 @@ def gate_rows(df: DataFrame, columns: dict[str, Column], schema: T.StructType) -
     )
 
 
-#: From narrow to wide: a value of a later type need not fit into an earlier one.
-_WIDTHS = {kind: i for i, kind in enumerate(("tinyint", "smallint", "int", "bigint", "float", "double"))}
-
-
 def evolve(df: DataFrame, table: T.StructType) -> DataFrame:
-    """``df`` with the table's missing columns added as nulls, table columns first.
+    """``df`` with the table's missing columns added as nulls, table columns first, shared columns in their common type.
 
-    Files of a table cannot mix numeric types, so a batch whose column is wider than the table's is refused: casting it
-    would lose digits.
+    Give it only what ``compare`` of the table with ``fitted`` lets pass: both use the same promotions.
     """
-    have = set(df.columns)
-    for f in table.fields:
-        if f.name in have:
-            new, old = (_WIDTHS.get(t.simpleString()) for t in (df.schema[f.name].dataType, f.dataType))
-            if new is not None and old is not None and new > old:
-                raise ValueError(f"column {f.name}: the batch has {df.schema[f.name].dataType.simpleString()}, the table {f.dataType.simpleString()}; rewrite the table first")
-    known = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have
+    types = {f.name: f.dataType for f in fitted(df.schema, table).fields}
+    known = [F.col(f.name).cast(types[f.name]).alias(f.name) if f.name in types
              else F.lit(None).cast(f.dataType).alias(f.name) for f in table.fields]
     return df.select(*known, *[c for c in df.columns if c not in set(table.fieldNames())])

@@ -25,33 +25,30 @@ def link_spans(spans: DataFrame) -> DataFrame:
 def trace_tree(spans: DataFrame) -> DataFrame:
     """Linked spans with their depth under the topmost recorded ancestor, and its id.
 
-    Depth is found by pointer doubling: round k joins each span to the ancestor 2^k levels
-    up, so a trace of depth d takes log2(d) rounds and there is no fixed depth limit. Each
-    round is written, so plans do not grow. Spans left over after log2(spans) rounds sit
-    on a cycle of parent links; they keep a null depth.
+    Depth is found by pointer doubling: round k joins each span that is not there yet to the ancestor 2^k levels up, so a
+    trace of depth d takes log2(d) rounds and there is no fixed depth limit. Links are written once; a round writes only
+    the spans that were still on their way. Spans left over after log2(spans) rounds sit on a cycle of parent links; they
+    keep a null depth.
     """
-    linked = link_spans(spans)
+    linked = written(link_spans(spans), "trace-links")
     has_parent = F.col("link") == "child"
-    jumps = written(linked.select(
-        "trace_id", "span_id",
-        F.when(has_parent, F.col("parent_span_id")).alias("up"),
-        has_parent.cast("bigint").alias("steps"), F.col("span_id").alias("top")), "trace-jumps")
-    pending = jumps.filter(F.col("up").isNotNull())
-    rounds = max(int(jumps.count()), 1).bit_length() + 1
-    while rounds > 0 and not pending.isEmpty():
-        rounds -= 1
-        above = jumps.select(
-            "trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up2"),
-            F.col("steps").alias("_steps2"), F.col("top").alias("_top2"))
-        jumps = written(jumps.join(above, ["trace_id", "up"], "left").select(
-            "trace_id", "span_id", F.col("_up2").alias("up"),
-            (F.col("steps") + F.coalesce("_steps2", F.lit(0).cast("bigint"))).alias("steps"),
-            F.coalesce(F.col("_top2"), F.col("top")).alias("top")), "trace-jumps")
-        pending = jumps.filter(F.col("up").isNotNull())
-    settled = jumps.select(
-        "trace_id", "span_id",
-        F.when(F.col("up").isNull(), F.col("steps")).alias("depth"),
-        F.when(F.col("up").isNull(), F.col("top")).alias("root_span_id"))
+    start = linked.select(
+        "trace_id", "span_id", F.when(has_parent, F.col("parent_span_id")).alias("up"),
+        has_parent.cast("bigint").alias("steps"), F.col("span_id").alias("top"))
+    done, pending = start.where("up IS NULL"), start.where("up IS NOT NULL")
+    n, left = start.agg(F.count("*"), F.count("up")).first()
+    for _ in range(max(int(n), 1).bit_length() + 1):
+        if not left:
+            break
+        above = done.unionByName(pending).select(
+            "trace_id", F.col("span_id").alias("up"), F.col("up").alias("_up2"), F.col("steps").alias("_steps2"), F.col("top").alias("_top2"))
+        moved = written(pending.join(above, ["trace_id", "up"]).select(
+            "trace_id", "span_id", F.col("_up2").alias("up"), (F.col("steps") + F.col("_steps2")).alias("steps"), F.col("_top2").alias("top")), "trace-jumps")
+        done, pending = done.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+        left = pending.count()
+    known = F.col("up").isNull()
+    settled = done.unionByName(pending).select(
+        "trace_id", "span_id", F.when(known, F.col("steps")).alias("depth"), F.when(known, F.col("top")).alias("root_span_id"))
     return linked.join(settled, ["trace_id", "span_id"])
 
 

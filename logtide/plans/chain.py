@@ -22,23 +22,22 @@ def pipe_payments(spark: SparkSession, sf: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"))
 
 
-@query("pipe_inventory", """
-    SELECT order_id, true AS reserved, paid_at AS reserved_at FROM f_payments
-    WHERE status = 'succeeded' AND scenario <> 'out-of-stock'""", ("f_payments",))
-def pipe_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return G.to_inventory(D.payments(spark, sf)).drop("items")
-
-
-@query("pipe_inventory_items", """
+_RESERVED = """
     SELECT order_id, coalesce(items, '[]') AS items, true AS reserved, paid_at AS reserved_at
     FROM f_payments LEFT JOIN (
         SELECT l_orderkey AS order_no, '[' || string_agg('{"sku":"sku-' || l_partkey || '","qty":' || CAST(l_quantity AS INTEGER) || '}',
                                                         ',' ORDER BY l_linenumber, l_partkey, l_quantity) || ']' AS items
         FROM lineitem GROUP BY l_orderkey) USING (order_no)
-    WHERE status = 'succeeded' AND scenario <> 'out-of-stock'""", ("f_payments",))
-def pipe_inventory_items(spark: SparkSession, sf: str) -> DataFrame:
-    """``pipe_inventory`` with the items that the reservation carries, as JSON."""
-    return G.to_inventory(D.payments(spark, sf, with_items=True)).withColumn("items", F.to_json("items"))
+    WHERE status = 'succeeded' AND scenario <> 'out-of-stock'"""
+
+
+@query("pipe_inventory", _RESERVED, ("f_payments",))
+@query("pipe_inventory_items", _RESERVED, ("f_payments",))
+def pipe_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Reservations with the items that they carry, as JSON. The refund events of the topic are in its input and go no further."""
+    paid = D.payments(spark, sf, with_items=True)
+    refunds = G.refund_events(D.refunds(spark, sf)).withColumn("items", F.lit(None).cast(paid.schema["items"].dataType)).withColumn("attempts", F.lit(None).cast("int"))
+    return G.to_inventory(paid.unionByName(refunds)).withColumn("items", F.to_json("items"))
 
 
 _TRACKING = "'TRK-' || order_id || '-' || epoch_ms({0})"

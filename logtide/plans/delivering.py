@@ -157,13 +157,6 @@ def batched_idempotent(spark: SparkSession, sf: str) -> DataFrame:
         "order_id", F.round("amount", 2).alias("amount"), "status", "retry_attempts", "ledger_rows", "outbox_rows")
 
 
-def resent(log: DataFrame) -> DataFrame:
-    """The log with every 5th record sent again later: same key, new offset, new delivery, marked ``again``."""
-    again = log.filter(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + F.lit(10 ** 12)).withColumn(
-        "timestamp", F.timestamp_seconds(F.unix_seconds("timestamp") + 86_400))
-    return log.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True)))
-
-
 _RESENT = """(SELECT order_no, order_id, scenario, part, pos, ts, total, 'created' AS st FROM f_log_orders UNION ALL
      SELECT order_no, order_id, scenario, part, pos + 1000000000000, ts + INTERVAL 1 DAY, total, 'updated' FROM f_log_orders WHERE pos % 5 = 0)"""
 
@@ -177,7 +170,7 @@ def dedup_delivery_vs_business(spark: SparkSession, sf: str) -> DataFrame:
 
     An order has a payment and maybe a refund, and every 5th of these events was sent again with a new offset.
     """
-    log = resent(D.log_payments(spark, sf)).select(
+    log = D.resent(D.log_payments(spark, sf)).select(
         F.col("key"), F.get_json_object("value", "$.status").alias("status"), *V.DELIVERY)
     once = V.distinct_deliveries(D.deliveries(log), "delivery_seq")
     events = once.groupBy("key", "status").agg(F.count("*").alias("copies"))
@@ -188,7 +181,7 @@ def dedup_delivery_vs_business(spark: SparkSession, sf: str) -> DataFrame:
     SELECT order_id AS key, 'created' AS status, count(*) AS effect_count, min(ts) AS first_processed_at
     FROM {_RESENT} GROUP BY order_id""", ("f_log_orders",))
 def effect_counts_query(spark: SparkSession, sf: str) -> DataFrame:
-    log = resent(D.log_orders(spark, sf).drop("value", "headers"))
+    log = D.resent(D.log_orders(spark, sf).drop("value", "headers"))
     status = F.when(F.col("again"), "updated").otherwise("created")
     kept = V.distinct_deliveries(D.deliveries(log.withColumn("status", status)), "delivery_seq")
     return V.effect_counts(kept, "key", "status", "timestamp", ["partition", "offset"])
@@ -198,7 +191,7 @@ def effect_counts_query(spark: SparkSession, sf: str) -> DataFrame:
     SELECT order_id AS key, part AS "partition", count(*) AS copies, min(pos) AS first_offset, max(pos) AS last_offset
     FROM {_RESENT} GROUP BY ALL HAVING count(*) > 1""", ("f_log_orders",))
 def business_duplicates_query(spark: SparkSession, sf: str) -> DataFrame:
-    return V.business_duplicates(resent(D.log_orders(spark, sf))).select(
+    return V.business_duplicates(D.resent(D.log_orders(spark, sf))).select(
         "key", "partition", "copies", "first_offset", "last_offset")
 
 

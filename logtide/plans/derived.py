@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from logtide.functions import rules as R
 from logtide.functions.jsontext import json_literal
+from logtide.operators import services
 from logtide.operators.stages import refund_events, to_compensation, to_payments, to_refunds
-from logtide.session import scratch_path
+from logtide.session import scratch_path, written
 from logtide.sinks.log import append_log, place, to_log
 from logtide.sources.log import read_log
 from logtide.sources.tables import table
@@ -198,6 +199,30 @@ def attachment_refs(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("doc_id") % 50 == 0, F.reverse(sha)).otherwise(sha).alias("checksum"))
 
 
+def resent(log: DataFrame) -> DataFrame:
+    """The log with every 5th record sent again later: same key, new offset, new delivery, marked ``again``."""
+    again = log.filter(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + F.lit(10 ** 12)).withColumn(
+        "timestamp", F.timestamp_seconds(F.unix_seconds("timestamp") + 86_400))
+    return log.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True)))
+
+
+def published_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The outbox of all four services for the orders log in which every 5th order was sent twice.
+
+    Each service consumes what the relay published of the ones before it. An outbox is a stored table, so the rows of a
+    service are written once and read by those behind it.
+    """
+    slot = (spark.sparkContext.applicationId, sf, "outbox")
+    if slot not in _logs:
+        created = written(services.order_service(resent(log_orders(spark, sf))), "outbox-orders")
+        paid = written(services.payment_service(services.relayed(created)), "outbox-payments")
+        held = written(services.inventory_service(services.relayed(paid)), "outbox-inventory")
+        last = services.payment_service(services.relayed(held)).unionByName(services.shipping_service(services.relayed(held)))
+        _logs[slot] = scratch_path(spark, "outbox")
+        created.unionByName(paid).unionByName(held).unionByName(last).write.partitionBy("aggregatetype").parquet(_logs[slot])
+    return spark.read.parquet(_logs[slot]).select(*services.OUTBOX)
+
+
 def group_offsets(log: DataFrame) -> DataFrame:
     """Committed offsets of two consumer groups: 90 % and 50 % of each partition."""
     ends = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end"))
@@ -234,26 +259,9 @@ def service_counters(spark: SparkSession, sf: str) -> DataFrame:
                          F.lit("payment-service").alias("service"), F.sum("n").over(day).cast("double").alias("value"))
 
 
-def spans(spark: SparkSession, sf: str) -> DataFrame:
-    """Four spans per happy order, one second long, with growing gaps; every 200th order lost its root."""
-    happy = orders(spark, sf).filter(F.col("order_id").contains("happy"))
-    hops = ("order.create", "payment.process", "inventory.reserve", "shipping.create")
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("hop"), F.lit(h.split(".")[0] + "-service").alias("service"), F.lit(h).alias("name"))
-        for i, h in enumerate(hops)])
-    start = F.timestamp_seconds(F.unix_seconds("ts") + F.col("hop") * 2 + F.when(F.col("hop") == 3, F.col("order_no") % 7)
-                                .otherwise(F.lit(0)))
-    exploded = happy.select("order_no", "order_id", "ts", F.inline(rows))
-    return exploded.filter(~((F.col("order_no") % 200 == 0) & (F.col("hop") == 0))).select(
-        F.concat(F.lit("trace-"), F.col("order_id")).alias("trace_id"),
-        F.concat_ws("/", "order_id", F.col("hop").cast("string")).alias("span_id"),
-        F.when(F.col("hop") > 0, F.concat_ws("/", "order_id", (F.col("hop") - 1).cast("string"))).alias("parent_span_id"),
-        "service", "name", start.alias("start"),
-        F.timestamp_seconds(F.unix_seconds(start) + 1).alias("end"))
-
-
 def all_spans(spark: SparkSession, sf: str) -> DataFrame:
-    """A span per hop that each order reached, whatever became of it, in the shape and times of ``spans``.
+    """A span per hop that each order reached, whatever became of it, one second long, with growing gaps; every 200th order
+    lost its root.
 
     Every order is created and paid for or refused, and inventory looks at every payment event. What it reserves is shipped;
     what is out of stock is compensated, and inventory sees the refund too, which shares the topic of payments.

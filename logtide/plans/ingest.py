@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide import schemas as S
+from logtide.functions.tracecontext import carried
 from logtide.operators.claims import classify
-from logtide.operators.decode import block_errors, declare, read_versions, wire_header, with_reject_reason
-from logtide.operators.delivery import outbox_rows, relay
+from logtide.operators.decode import Writer, block_errors, declare, read_framed, read_versions, wire_header, with_reject_reason
 from logtide.operators.gate import gate_rows
 from logtide.operators.retry import dead_letters
-from logtide.operators.stages import to_compensation, to_inventory
+from logtide.operators.services import published_spans, relayed
 from logtide.plans import derived as D
 from logtide.plans.registry import query
 from logtide.session import scratch_path
@@ -96,6 +96,38 @@ def wire_header_query(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "schema_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"))
 
 
+FRAMED_V1 = S.T.StructType().add("orderId", "string", False).add("customerId", "string").add("total", "integer")
+FRAMED_V2 = S.T.StructType().add("orderId", "string", False).add("customer", "string").add("total", "double").add("discountCode", "string")
+FRAMED_READER = S.T.StructType().add("orderId", "string", False).add("customer", "string").add("total", "double").add("discountCode", "string").add("channel", "string", False)
+
+
+@query("framed_versions", """
+    SELECT order_no, CASE WHEN order_no % 97 <> 0 THEN CASE WHEN order_no % 89 = 0 THEN 79 WHEN order_no % 2 = 0 THEN 71 ELSE 72 END END AS schema_id, reason AS reject_reason,
+           CASE WHEN reason IS NULL THEN order_id END AS order_id, CASE WHEN reason IS NULL THEN customer_id END AS customer,
+           CASE WHEN reason IS NULL THEN CASE WHEN order_no % 2 = 0 THEN floor(total) ELSE round(total, 2) END END AS total,
+           CASE WHEN reason IS NULL THEN CASE WHEN order_no % 2 = 0 THEN 'NONE' WHEN order_no % 4 = 1 THEN 'SUMMER10' END END AS discount_code,
+           CASE WHEN reason IS NULL THEN 'web' END AS channel
+    FROM (SELECT *, CASE WHEN order_no % 97 = 0 THEN 'not framed' WHEN order_no % 89 = 0 THEN 'unknown schema' WHEN order_no % 83 = 0 THEN 'not JSON'
+                         WHEN order_no % 79 = 0 THEN 'misfit: total' WHEN order_no % 73 = 0 THEN 'misfit: orderId' END AS reason FROM f_orders)""", ("f_orders",))
+def framed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Framed orders of two schemas, read as the newest: a renamed field, a promoted type, two defaults, five kinds of rejects."""
+    n = F.col("order_no")
+    oid = F.when(n % 73 != 0, F.col("order_id")).alias("orderId")
+    odd_total = F.lit("much").alias("total")
+    v1, v2 = F.floor("total").cast("int").alias("total"), F.round("total", 2).alias("total")
+    old = lambda total: F.to_json(F.struct(oid, F.col("customer_id").alias("customerId"), total))
+    new = lambda total: F.to_json(F.struct(oid, F.col("customer_id").alias("customer"), total, F.when(n % 4 == 1, F.lit("SUMMER10")).alias("discountCode")))
+    even = n % 2 == 0
+    text = F.when(n % 83 == 0, F.lit("heyyy")).when(n % 79 == 0, F.when(even, old(odd_total)).otherwise(new(odd_total))).otherwise(F.when(even, old(v1)).otherwise(new(v2)))
+    sid = F.when(n % 89 == 0, F.lit(79)).when(even, F.lit(71)).otherwise(F.lit(72))
+    magic = F.when(n % 97 == 0, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
+    frames = D.orders(spark, sf).select("order_no", F.concat(magic, F.unhex(F.lpad(F.hex(sid), 8, "0")), F.encode(text, "utf-8")).alias("body"))
+    writers = {71: Writer(FRAMED_V1, {"customer": "customerId"}), 72: Writer(FRAMED_V2)}
+    read = read_framed(frames, writers, FRAMED_READER, {"discountCode": F.lit("NONE"), "channel": F.lit("web")})
+    return read.select("order_no", F.col("schema_id").cast("int").alias("schema_id"), "reject_reason", F.col("orderId").alias("order_id"), "customer",
+                       "total", F.col("discountCode").alias("discount_code"), "channel")
+
+
 @query("incremental_read", """
     SELECT CASE WHEN o_orderkey <= m.half THEN 1 ELSE 2 END AS poll, o_orderkey, round(o_totalprice, 2) AS total
     FROM orders, (SELECT max(o_orderkey) // 2 AS half FROM orders) m""")
@@ -236,42 +268,29 @@ def clustered_table(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("records"), F.round(F.sum("amount"), 2).alias("revenue"))
 
 
-def all_outbox(spark: SparkSession, sf: str) -> DataFrame:
-    """Outbox rows of the payment and inventory services."""
-    paid = D.payments(spark, sf)
-    event = F.when(F.col("status") == "succeeded", "PaymentSucceeded").otherwise("PaymentFailed")
-    payment_body = F.to_json(F.struct(event.alias("type"), F.col("order_id").alias("orderId"), "amount", "status"))
-    reserved = F.lit("InventoryReserved")
-    asked = F.lit("CompensationRequested")
-    return (
-        outbox_rows(paid, "payments", "order_id", event, payment_body)
-        .unionByName(outbox_rows(to_inventory(paid), "inventory", "order_id", reserved, F.to_json(F.struct(
-            reserved.alias("type"), F.col("order_id").alias("orderId"), "reserved"))))
-        .unionByName(outbox_rows(to_compensation(paid), "payment-compensation", "order_id", asked, F.to_json(F.struct(
-            asked.alias("type"), F.col("order_id").alias("orderId"), "reason"))))
-    )
-
-
-OUTBOX_SQL = """
-    SELECT 'payments' AS topic, order_id AS key,
-           CASE status WHEN 'succeeded' THEN 'PaymentSucceeded' ELSE 'PaymentFailed' END AS event_type FROM f_payments
-    UNION ALL
-    SELECT 'inventory', order_id, 'InventoryReserved' FROM f_payments
-    WHERE status = 'succeeded' AND scenario <> 'out-of-stock'
-    UNION ALL
-    SELECT 'payment-compensation', order_id, 'CompensationRequested' FROM f_payments WHERE scenario = 'out-of-stock'"""
-
-
-@query("outbox_relay", OUTBOX_SQL, ("f_payments",))
+@query("outbox_relay", """
+    SELECT aggregatetype AS topic, aggregateid AS key, type AS event_type, id AS event_id,
+           '00-' || trace_id || '-' || span_id || '-01' AS traceparent
+    FROM f_outbox""", ("f_outbox",))
 def outbox_relay(spark: SparkSession, sf: str) -> DataFrame:
-    return relay(all_outbox(spark, sf)).select("topic", "key", F.get_json_object("value", "$.type").alias("event_type"))
+    """Records as published by the relay; the trace context comes out of the payload, as a consumer takes it."""
+    records = relayed(D.published_events(spark, sf))
+    return records.select("topic", "key", F.get_json_object("value", "$.type").alias("event_type"), F.element_at("headers", "id").alias("event_id"),
+                          carried(F.col("headers"), F.col("value")).alias("traceparent"))
 
 
-@query("outbox_rows", f"""
-    SELECT sha256(topic || '/' || key || '/' || event_type) AS id, topic AS aggregatetype, key AS aggregateid,
-           event_type AS type FROM ({OUTBOX_SQL})""", ("f_payments",))
+@query("outbox_rows", """
+    SELECT id, aggregatetype, aggregateid, type, ts AS created_at FROM f_outbox""", ("f_outbox",))
 def outbox_rows_query(spark: SparkSession, sf: str) -> DataFrame:
-    return all_outbox(spark, sf).select("id", "aggregatetype", "aggregateid", "type")
+    """All six event types of the four services; an order sent twice has two events of each type, with ids of their own."""
+    return D.published_events(spark, sf).select("id", "aggregatetype", "aggregateid", "type", "created_at")
+
+
+@query("published_trace", """
+    SELECT trace_id, span_id, parent_span_id, name, type AS event_type, split_part(name, '.', 1) || '-service' AS service
+    FROM f_outbox""", ("f_outbox",))
+def published_trace(spark: SparkSession, sf: str) -> DataFrame:
+    return published_spans(relayed(D.published_events(spark, sf)))
 
 
 @query("dlq_records", """

@@ -69,26 +69,19 @@ def alert_states_query(spark: SparkSession, sf: str) -> DataFrame:
     return O.alert_states(grown, SERIES, F.col("increase") > 1, 120).select("event_type", "ts", "state")
 
 
-@query("trace_tree", """
-    SELECT s.trace_id, s.span_id, s.service, p.service AS parent_service,
-           CASE WHEN s.parent_span_id IS NULL THEN 'root' WHEN p.span_id IS NULL THEN 'broken' ELSE 'child' END AS link,
-           CAST(s.hop - CASE WHEN s.order_no % 200 = 0 THEN 1 ELSE 0 END AS BIGINT) AS depth,
-           CAST(epoch_ms(s.start_at) - epoch_ms(p.start_at + INTERVAL 1 SECOND) AS DOUBLE) AS gap_ms
-    FROM f_spans s LEFT JOIN f_spans p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id""", ("f_spans",))
-def trace_tree_query(spark: SparkSession, sf: str) -> DataFrame:
-    return trace_tree(D.spans(spark, sf)).select(
-        "trace_id", "span_id", "service", "parent_service", "link", "depth", F.col("gap_ms").cast("double").alias("gap_ms"))
-
-
-@query("trace_tree_all", """
+_TREE = """
     SELECT s.trace_id, s.span_id, s.name, split_part(s.name, '.', 1) || '-service' AS service,
            split_part(p.name, '.', 1) || '-service' AS parent_service,
            CASE WHEN s.parent_span_id IS NULL THEN 'root' WHEN p.span_id IS NULL THEN 'broken' ELSE 'child' END AS link,
            CAST(s.hop - CASE WHEN s.order_no % 200 = 0 THEN 1 ELSE 0 END AS BIGINT) AS depth,
            CAST(epoch_ms(s.start_at) - epoch_ms(p.start_at + INTERVAL 1 SECOND) AS DOUBLE) AS gap_ms
-    FROM f_all_spans s LEFT JOIN f_all_spans p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id""", ("f_all_spans",))
-def trace_tree_all(spark: SparkSession, sf: str) -> DataFrame:
-    """``trace_tree`` over the orders of every scenario, by the hops that each reached."""
+    FROM f_all_spans s LEFT JOIN f_all_spans p ON p.trace_id = s.trace_id AND p.span_id = s.parent_span_id"""
+
+
+@query("trace_tree", _TREE, ("f_all_spans",))
+@query("trace_tree_all", _TREE, ("f_all_spans",))
+def trace_tree_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The traces of all orders, by the hops that each reached."""
     return trace_tree(D.all_spans(spark, sf)).select(
         "trace_id", "span_id", "name", "service", "parent_service", "link", "depth", F.col("gap_ms").cast("double").alias("gap_ms"))
 

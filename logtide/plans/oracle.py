@@ -72,6 +72,34 @@ VIEWS: dict[str, str] = {
     "f_log_payments": f"""
         SELECT *, row_number() OVER (PARTITION BY part ORDER BY event_at, kind, order_no) - 1 AS pos
         FROM (SELECT *, {partition('order_id', 3)} AS part FROM f_payment_events)""",
+    "f_published": """
+        SELECT *, sha256('orders/' || order_id || '/OrderCreated/orders/' || part || '/' || pos) AS order_event,
+               md5('trace/' || order_id || '/orders/' || part || '/' || pos) AS trace_id,
+               substr(md5(md5('trace/' || order_id || '/orders/' || part || '/' || pos) || '/order.create'), 1, 16) AS s0
+        FROM (SELECT order_id, scenario, part, pos, ts, total FROM f_log_orders UNION ALL
+              SELECT order_id, scenario, part, pos + 1000000000000, ts + INTERVAL 1 DAY, total FROM f_log_orders WHERE pos % 5 = 0)""",
+    "f_hops": """
+        SELECT *, substr(md5(s2 || '/payment.compensate'), 1, 16) AS s3c, substr(md5(s2 || '/shipping.create'), 1, 16) AS s3s,
+               sha256('inventory/' || order_id || '/InventoryReserved/' || paid_event) AS reserved_event,
+               sha256('payment-compensation/' || order_id || '/CompensationRequested/' || paid_event) AS asked_event
+        FROM (SELECT *, substr(md5(s1 || '/inventory.reserve'), 1, 16) AS s2,
+                     sha256('payments/' || order_id || '/' || paid_type || '/' || order_event) AS paid_event
+              FROM (SELECT *, substr(md5(s0 || '/payment.process'), 1, 16) AS s1,
+                           CASE WHEN scenario IN ('payment-declined', 'permanent-fail') THEN 'PaymentFailed' ELSE 'PaymentSucceeded' END AS paid_type
+                    FROM f_published))""",
+    "f_outbox": """
+        SELECT order_event AS id, 'orders' AS aggregatetype, order_id AS aggregateid, 'OrderCreated' AS type, trace_id, s0 AS span_id,
+               NULL AS parent_span_id, 'order.create' AS name, ts FROM f_hops
+        UNION ALL SELECT paid_event, 'payments', order_id, paid_type, trace_id, s1, s0, 'payment.process', ts FROM f_hops
+        UNION ALL SELECT reserved_event, 'inventory', order_id, 'InventoryReserved', trace_id, s2, s1, 'inventory.reserve', ts FROM f_hops
+                  WHERE paid_type = 'PaymentSucceeded' AND scenario <> 'out-of-stock'
+        UNION ALL SELECT asked_event, 'payment-compensation', order_id, 'CompensationRequested', trace_id, s2, s1, 'inventory.reserve', ts
+                  FROM f_hops WHERE scenario = 'out-of-stock'
+        UNION ALL SELECT sha256('payments/' || order_id || '/PaymentRefunded/' || asked_event), 'payments', order_id, 'PaymentRefunded',
+                         trace_id, s3c, s2, 'payment.compensate', ts FROM f_hops WHERE scenario = 'out-of-stock'
+        UNION ALL SELECT sha256('shipping/' || order_id || '/ShipmentCreated/' || reserved_event), 'shipping', order_id, 'ShipmentCreated',
+                         trace_id, s3s, s2, 'shipping.create', ts FROM f_hops
+                  WHERE paid_type = 'PaymentSucceeded' AND scenario <> 'out-of-stock'""",
     "f_deliveries": """
         SELECT *, 1 AS seq FROM f_log_orders
         UNION ALL
@@ -113,13 +141,6 @@ VIEWS: dict[str, str] = {
                sum(delta) OVER (PARTITION BY event_type ORDER BY ts
                                 RANGE BETWEEN INTERVAL 299999999 MICROSECONDS PRECEDING AND CURRENT ROW) AS increase
         FROM f_deltas""",
-    "f_spans": """
-        SELECT order_no, hop, 'trace-' || order_id AS trace_id, order_id || '/' || hop AS span_id,
-               CASE WHEN hop > 0 THEN order_id || '/' || (hop - 1) END AS parent_span_id,
-               ['order-service', 'payment-service', 'inventory-service', 'shipping-service'][hop + 1] AS service,
-               ts + to_seconds(CAST(hop * 2 + CASE WHEN hop = 3 THEN order_no % 7 ELSE 0 END AS BIGINT)) AS start_at
-        FROM f_orders, (SELECT unnest([0, 1, 2, 3]) AS hop) h
-        WHERE scenario = 'happy' AND NOT (order_no % 200 = 0 AND hop = 0)""",
     "f_all_spans": """
         SELECT order_no, hop, 'trace-' || order_id AS trace_id, order_id || '/' || hop AS span_id,
                CASE WHEN hop > 0 THEN order_id || '/' || (hop - 1) END AS parent_span_id, name,
@@ -133,9 +154,9 @@ VIEWS: dict[str, str] = {
 
 _NEEDS = {
     "f_log_orders": ["f_orders"], "f_payments": ["f_orders"], "f_payment_events": ["f_payments"],
-    "f_log_payments": ["f_payment_events"], "f_deliveries": ["f_log_orders"], "f_skewed_placed": ["f_skewed"],
+    "f_log_payments": ["f_payment_events"], "f_published": ["f_log_orders"], "f_hops": ["f_published"], "f_outbox": ["f_hops"], "f_deliveries": ["f_log_orders"], "f_skewed_placed": ["f_skewed"],
     "f_log_ends": ["f_log_orders"], "f_offsets": ["f_log_ends"], "f_deltas": ["f_metrics"],
-    "f_increase": ["f_deltas"], "f_spans": ["f_orders"], "f_all_spans": ["f_orders"],
+    "f_increase": ["f_deltas"], "f_all_spans": ["f_orders"],
 }
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtide.operators.decode import parse_split
-from logtide.operators.gate import GateReport, evolve, require_compatible
+from logtide.operators.gate import GateReport, common_type, evolve, fitted, require_compatible
 
 
 def write_with_quarantine(log: DataFrame, good_path: str, bad_path: str) -> None:
@@ -31,19 +33,54 @@ def gated_append(df: DataFrame, path: str, table: T.StructType | None = None,
     """Append only what readers of the table's current schema rules allow.
 
     A breaking change raises before anything is written. New nullable columns evolve the
-    table; columns the batch lacks are written as nulls. Give the ``table`` schema where it
-    is known: finding it from the files reads the footer of every one.
+    table; columns the batch lacks are written as nulls. A numeric column may grow to a
+    type that holds all its values: Parquet files of one read cannot mix numeric types, so
+    the files from then on go to a folder of their own (``schema-N``), and ``read_evolved``
+    reads each folder with its own types. Give the ``table`` schema where it is known:
+    finding it from the files reads their footers.
     """
     spark: SparkSession = df.sparkSession
-    current = table or read_evolved(spark, path).schema
-    report = require_compatible(current, df.schema, defaults)
-    evolve(df, current).write.mode("append").parquet(path)
+    groups = _schema_groups(spark, path)
+    current = table or _merged([g.schema for _, g in groups])
+    report = require_compatible(current, fitted(df.schema, current), defaults)
+    batch = evolve(df, current)
+    number, newest = (groups[-1][0], groups[-1][1].schema) if groups else (0, batch.schema)
+    same = all(f.name not in newest.fieldNames() or newest[f.name].dataType == f.dataType for f in batch.schema.fields)
+    batch.write.mode("append").parquet(_group_path(path, number if same else number + 1))
     return report
 
 
+def _group_path(path: str, number: int) -> str:
+    return path if number == 0 else f"{path}/schema-{number}"
+
+
+def _schema_groups(spark: SparkSession, path: str) -> list[tuple[int, DataFrame]]:
+    """The files of the table itself, and those of each folder ``schema-N``, in the order in which they were begun."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [f.getPath().getName() for f in store.listStatus(at)] if store.exists(at) else []
+    numbers = sorted(int(n.removeprefix("schema-")) for n in names if n.startswith("schema-"))
+    whole = [0] if any(n.endswith(".parquet") for n in names) else []
+    return [(n, spark.read.option("mergeSchema", "true").parquet(_group_path(path, n))) for n in whole + numbers]
+
+
+def _merged(schemas: list[T.StructType]) -> T.StructType:
+    fields: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            fields[f.name] = (common_type(fields[f.name], f.dataType) if f.name in fields else None) or f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose files have several schema versions."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A table whose files have several schema versions: every column in the widest type it ever had, nulls where it lacked.
+
+    Each folder of files is read with the types it was written with and cast afterwards; filters still reach its scan.
+    """
+    groups = _schema_groups(spark, path)
+    schema = _merged([g.schema for _, g in groups])
+    parts = [g.select(*[(F.col(f.name) if f.name in g.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]) for _, g in groups]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def jdbc_batch_writer(url: str, table: str, batch_rows: int = 10_000, **properties: str):

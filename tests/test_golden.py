@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -491,3 +492,50 @@ def test_clustered_files_are_sorted_and_pruned(spark, sf, tmp_path):
     write_clustered(events, path, "event_month", ["event_type", "event_id"])
     plan = spark.read.parquet(path).filter("event_month = '202401' AND event_type = 'view'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan and "EqualTo(event_type,view)" in plan
+
+
+def test_framed_records_are_resolved_to_the_reader(spark):
+    v1 = T.StructType().add("id", "string", False).add("qty", "integer")
+    v2 = T.StructType().add("key", "string", False).add("qty", "double").add("note", "string")
+    reader = T.StructType().add("key", "string", False).add("qty", "double").add("note", "string").add("site", "string", False)
+    writers = {1: decode.Writer(v1, {"key": "id"}), 2: decode.Writer(v2)}
+    frame = lambda sid, text, magic=0: bytes([magic]) + sid.to_bytes(4, "big") + (text if isinstance(text, bytes) else text.encode())
+    rows_in = [(1, frame(1, '{"id":"a","qty":3}')), (2, frame(2, '{"key":"b","qty":2.5,"note":"n"}')), (3, frame(2, '{"key":"c","qty":null}')),
+               (4, frame(9, "{}")), (5, frame(1, "{}", 1)), (6, b"\x00\x00"), (7, None), (8, frame(1, "heyyy")), (9, frame(2, b"\xff\xfe")),
+               (10, frame(1, '{"qty":3}')), (11, frame(2, '{"key":"d","qty":"much"}')), (12, frame(1, '{"id":"e","extra":1}')), (13, frame(2, "[1]"))]
+    df = spark.createDataFrame(rows_in, "no int, body binary")
+    got = {r.no: tuple(r)[1:] for r in decode.read_framed(df, writers, reader, {"site": F.lit("web")}).collect()}
+    none = (None,) * 4
+    assert got == {
+        1: (1, None, "a", 3.0, None, "web"), 2: (2, None, "b", 2.5, "n", "web"), 3: (2, None, "c", None, None, "web"), 4: (9, "unknown schema", *none),
+        5: (None, "not framed", *none), 6: (None, "not framed", *none), 7: (None, "not framed", *none), 8: (1, "not JSON", *none), 9: (2, "not JSON", *none),
+        10: (1, "misfit: id", *none), 11: (2, "misfit: qty", *none), 12: (1, None, "e", None, None, "web"), 13: (2, "misfit: key", *none)}
+    with pytest.raises(gate.IncompatibleSchema, match="site"):
+        decode.read_framed(df, writers, reader)
+    with pytest.raises(gate.IncompatibleSchema, match="qty"):
+        decode.read_framed(df, writers, T.StructType().add("key", "string").add("qty", "integer"))
+    plan = decode.read_framed(df, writers, reader, {"site": F.lit("web")})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") + plan.count("parse_json") <= 2  # parsed once, whatever is read from it
+
+
+def test_contexts_are_derived_and_rebuilt(spark):
+    from logtide.functions import tracecontext as C
+    from logtide.operators import services
+    assert spark.range(1).select(C.child_of(F.lit("no context"), F.lit("x")).alias("c")).first().c is None
+    sends = spark.createDataFrame([("order-happy-1", '{"orderId":"order-happy-1","total":5.0}', "orders", 0, o, dt.datetime(2026, 1, 1)) for o in (0, 9)] + [
+        ("order-out-of-stock-2", '{"orderId":"order-out-of-stock-2","total":2.0}', "orders", 1, 0, dt.datetime(2026, 1, 1))],
+        "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    outbox = services.order_service(sends)
+    for serve in (services.payment_service, services.inventory_service, services.payment_service, services.shipping_service):
+        known = outbox.select("id")
+        outbox = outbox.unionByName(serve(services.relayed(outbox)).join(known, "id", "left_anti"))
+    assert rows(outbox, "type") == sorted([("OrderCreated",)] * 3 + [("PaymentSucceeded",)] * 3 + [("InventoryReserved",), ("ShipmentCreated",)] * 2 + [
+        ("CompensationRequested",), ("PaymentRefunded",)], key=repr)
+    assert outbox.select("id").distinct().count() == outbox.count()
+    assert outbox.where("payload NOT LIKE '%traceContext%'").count() == 0
+    spans = services.published_spans(services.relayed(outbox)).collect()
+    assert len({s.trace_id for s in spans}) == 3 and len({(s.trace_id, s.span_id) for s in spans}) == len(spans)
+    name = {(s.trace_id, s.span_id): s.name for s in spans}
+    assert Counter((name.get((s.trace_id, s.parent_span_id)), s.name) for s in spans) == {
+        (None, "order.create"): 3, ("order.create", "payment.process"): 3, ("payment.process", "inventory.reserve"): 3, ("inventory.reserve", "shipping.create"): 2,
+        ("inventory.reserve", "payment.compensate"): 1}

@@ -5,13 +5,14 @@ import json
 from collections import Counter
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from logtide import schemas as S
 from logtide.operators import decode, partitions, stages
 from logtide.plans import QUERIES
 from logtide.plans.delivering import payment_effects
-from logtide.sinks.tables import gated_append
+from logtide.operators.gate import IncompatibleSchema
+from logtide.sinks.tables import gated_append, read_evolved
 from logtide.sources.tables import table
 
 
@@ -42,14 +43,28 @@ def test_story_tells_repeats_and_latency_bridges_gaps(spark):
     assert {r.stage: r.delay_seconds for r in stages.stage_latency(hops, ["orders", "payments", "inventory"]).collect()} == {"orders": None, "inventory": 10.0}
 
 
-@pytest.mark.parametrize("old, new, value", [("int", "double", 3.7), ("int", "bigint", 3_000_000_000)])
-def test_wider_batches_are_refused_whole(spark, tmp_path, old, new, value):
+@pytest.mark.parametrize("old, new, value", [("int", "double", 3.7), ("int", "bigint", 3_000_000_000), ("float", "double", 0.1), ("tinyint", "float", 2.5)])
+def test_wider_batches_come_back(spark, tmp_path, old, new, value):
+    """The gate's one answer: what it accepts is stored and read in the wider type."""
     path = str(tmp_path / "t")
-    spark.createDataFrame([(1,)], f"qty {old}").write.parquet(path)
-    with pytest.raises(ValueError, match="qty"):
+    one = lambda v, kind: spark.range(1).select(F.lit(v).cast(kind).alias("qty"))
+    one(1, old).write.parquet(path)
+    gated_append(one(value, new), path)
+    gated_append(one(2, old), path)  # narrow again: goes with the wide files
+    gated_append(one(value, new).withColumn("note", F.when(F.col("qty") > 0, "x")), path)
+    back = read_evolved(spark, path)
+    assert back.schema["qty"].dataType.simpleString() == new and back.columns == ["qty", "note"]
+    assert sorted(r.qty for r in back.collect()) == sorted([1, 2, value, value])
+    assert back.where(F.col("qty") == F.lit(value).cast(new)).count() == 2 and back.where("note = 'x'").count() == 1
+
+
+@pytest.mark.parametrize("old, new, value", [("bigint", "double", 0.5), ("int", "float", 0.5), ("double", "bigint", 2 ** 60), ("int", "string", "x")])
+def test_what_would_lose_digits_is_refused_whole(spark, tmp_path, old, new, value):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1,)], "qty int").select(F.col("qty").cast(old).alias("qty")).write.parquet(path)
+    with pytest.raises(IncompatibleSchema, match="qty"):
         gated_append(spark.createDataFrame([(value,)], f"qty {new}"), path)
-    assert spark.read.parquet(path).count() == 1
-    assert isinstance(spark.read.parquet(path).schema["qty"].dataType, T.IntegerType)
+    assert read_evolved(spark, path).count() == 1
 
 
 def test_agreement_shows_planted_differences(spark):
