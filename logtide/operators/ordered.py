@@ -47,6 +47,53 @@ def dense_positions(df: DataFrame, groups: list[str], order: list[str], name: st
     )
 
 
+SAMPLE_ROWS = 20_000
+
+
+def order_bounds(df: DataFrame, order: list[str], chunks: int, sample_rows: int = SAMPLE_ROWS) -> list[tuple]:
+    """Up to ``chunks - 1`` values of ``order`` that cut the rows into chunks of similar size.
+
+    Taken from about ``sample_rows`` rows, chosen by a hash of their order: the driver never holds more, and cuts only
+    decide where rows are numbered, not which number they get.
+    """
+    rows = df.select(*order)
+    step = max(1, rows.count() // sample_rows)
+    sample = rows.where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0).limit(4 * sample_rows).collect()
+    ranked = sorted((tuple(r) for r in sample), key=lambda r: [(x is not None, x) for x in r])
+    return sorted({ranked[len(ranked) * i // chunks] for i in range(1, chunks)} if ranked else [], key=lambda r: [(x is not None, x) for x in r])
+
+
+def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name: str = "position", chunks: int | None = None) -> DataFrame:
+    """0-based position of each row in its group, in ``order``; for few groups of any size.
+
+    ``groups`` + ``order`` has to be unique. Rows are counted per group and chunk of the order on these columns alone, and
+    the counts (at most groups x chunks rows) give every chunk its first number. The rows themselves move once, to be
+    numbered inside their chunk; nothing is written in between, and the same rows get the same numbers every time.
+    """
+    spark = df.sparkSession
+    chunks = chunks or min(128, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    bounds = order_bounds(df, order, chunks)
+    types = [df.schema[c].dataType for c in order]
+    place = F.struct(*order)
+    cuts = F.array(*[F.struct(*[F.lit(x).cast(t).alias(c) for x, t, c in zip(b, types, order, strict=True)]) for b in bounds])
+    chunk = (F.size(F.filter(cuts, lambda b: b <= place)) if bounds else F.lit(0)).alias("_chunk")
+    counts = df.select(*groups, chunk).groupBy(*groups, "_chunk").agg(F.count("*").alias("n")).collect()
+    starts, upto = [], {}
+    for r in sorted(counts, key=lambda r: r["_chunk"]):
+        group = tuple(r[g] for g in groups)
+        starts.append((*group, r["_chunk"], upto.get(group, 0)))
+        upto[group] = upto.get(group, 0) + r["n"]
+    fields = ", ".join(f"`_g{i}` {df.schema[g].dataType.simpleString()}" for i, g in enumerate(groups))
+    known = F.broadcast(spark.createDataFrame(starts, f"{fields}{', ' if fields else ''}_c int, _start long"))
+    cut = df.select("*", chunk)
+    same = F.col("_chunk") == F.col("_c")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    inside = Window.partitionBy(*groups, "_chunk").orderBy(*order)
+    numbered = cut.withColumn("_no", F.row_number().over(inside)).join(known, same)
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_no") - 1).alias(name))
+
+
 def offset_chunk(col: str = "offset", rows: int = 1_000_000) -> Column:
     """Chunk of a log position; holds at most ``rows`` rows because offsets are unique."""
     return F.floor(F.col(col) / F.lit(rows))

@@ -7,6 +7,7 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtide.functions.hashing import murmur2, partition_for, placement, salted
+from logtide.session import written
 
 
 def assign_partitions(df: DataFrame, key: str, partitions: int, partitioner=partition_for,
@@ -20,13 +21,16 @@ def salt_keys(df: DataFrame, key: str, is_hot: Column, buckets: int, ordinal: st
 
 
 def partition_distribution(log: DataFrame, partitions: int, partition: str = "partition",
-                           healthy_share: float = 0.2) -> DataFrame:
+                           healthy_share: float = 0.2, records: str | None = None) -> DataFrame:
     """Rows, share, over-share flag per partition, and which partition is the worst.
 
+    With ``records``, a row stands for so many (say a key and its count), so that keys are placed once and not per record.
+
     Every partition of the topic is listed, and so is every other number that records carry, null included: those are
     strays, and count in the shares. An empty topic has shares 0 and no worst one.
     """
-    counts = log.groupBy(F.col(partition).cast("bigint").alias("partition")).agg(F.count("*").alias("n"))
+    n = F.sum(records) if records else F.count("*")
+    counts = log.groupBy(F.col(partition).cast("bigint").alias("partition")).agg(n.alias("n"))
     every = log.sparkSession.range(partitions).select(F.col("id").alias("partition"))
     loads = every.join(counts, "partition", "full_outer").select(
         "partition", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("records"))
@@ -49,9 +53,10 @@ def key_counts(df: DataFrame, key: str, window: Column | None = None) -> DataFra
 def hot_keys(df: DataFrame, key: str, min_share: float, window: Column | None = None) -> DataFrame:
     """Keys above a share of all records (of their time window when one is given).
 
-    Counts are pre-aggregated per task; totals are taken from the counts, not the rows.
+    Counts are pre-aggregated per task and written, so the rows are read once; totals are taken from the counts. Where
+    counting every key is too much, see ``logtide.operators.sketches``.
     """
-    counts = key_counts(df, key, window)
+    counts = written(key_counts(df, key, window), "key-counts")
     if window is None:
         total = counts.agg(F.sum("records")).scalar()
         shared = counts.withColumn("share", F.col("records") / total)

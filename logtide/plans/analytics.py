@@ -11,9 +11,11 @@ from logtide.operators.observe import share_of_total, throughput
 from logtide.operators.partitions import (
     copartition_report, hot_keys, partition_distribution, salt_sweep, salted_sum,
 )
+from logtide.operators.sketches import hot_keys_sketched, key_sketches
 from logtide.plans import derived as D
 from logtide.plans.oracle import partition as partition_sql
 from logtide.plans.registry import query
+from logtide.session import written
 from logtide.sources.tables import table
 from logtide.streaming.jobs import tumbling_totals
 
@@ -127,8 +129,9 @@ def status_totals(spark: SparkSession, sf: str) -> DataFrame:
            row_number() OVER (ORDER BY records DESC, "partition") = 1 AS is_worst
     FROM loads, total""", ("f_skewed_placed",))
 def partition_distribution_query(spark: SparkSession, sf: str) -> DataFrame:
-    placed = D.skewed(spark, sf).select(placement(murmur2(F.col("key")), 6).alias("partition"))
-    return partition_distribution(placed, 6).withColumn("share", F.round("share", 6))
+    keys = D.skewed(spark, sf).groupBy("key").agg(F.count("*").alias("n"))
+    placed = keys.select(placement(murmur2(F.col("key")), 6).alias("partition"), "n")
+    return partition_distribution(placed, 6, records="n").withColumn("share", F.round("share", 6))
 
 
 @query("hot_keys", """
@@ -147,6 +150,30 @@ def hot_keys_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return hot_keys(D.skewed(spark, sf), "key", 0.01, F.date_trunc("day", "ts")).withColumn("share", F.round("share", 6))
 
 
+def _daily_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """One stored sketch a day, as a job would add it to the table each night."""
+    return written(key_sketches(D.skewed(spark, sf), "key", F.date_trunc("day", "ts")), "key-sketches")
+
+
+@query("hot_keys_sketched", """
+    SELECT key, count(*) AS records, round(count(*) / (SELECT count(*) FROM f_skewed), 6) AS share
+    FROM f_skewed GROUP BY key HAVING count(*) / (SELECT count(*) FROM f_skewed) > 0.0015""", ("f_skewed",))
+def hot_keys_sketched_query(spark: SparkSession, sf: str) -> DataFrame:
+    """``hot_keys`` from the days' sketches and an exact count of the candidates alone."""
+    found = hot_keys_sketched(D.skewed(spark, sf), "key", _daily_sketches(spark, sf), 0.0015)
+    return found.withColumn("share", F.round("share", 6))
+
+
+@query("hot_keys_sketched_by_day", """
+    SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, key, count(*) AS records,
+           round(count(*) / sum(count(*)) OVER (PARTITION BY date_trunc('day', ts)), 6) AS share
+    FROM f_skewed GROUP BY date_trunc('day', ts), key
+    QUALIFY count(*) / sum(count(*)) OVER (PARTITION BY date_trunc('day', ts)) > 0.01""", ("f_skewed",))
+def hot_keys_sketched_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    found = hot_keys_sketched(D.skewed(spark, sf), "key", _daily_sketches(spark, sf), 0.01, window=F.date_trunc("day", "ts"))
+    return found.withColumn("share", F.round("share", 6))
+
+
 @query("salt_sweep", f"""
     , plans AS (SELECT salt_buckets, partitions FROM (SELECT unnest([0, 4, 8, 16, 32, 64]) AS salt_buckets),
                        (SELECT unnest([6, 12, 24]) AS partitions)),

@@ -210,9 +210,16 @@ def stage_latency_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("saga_story", _HOPS + """
-    SELECT order_id, CAST(row_number() OVER (PARTITION BY order_id ORDER BY ts, stage_no) AS INTEGER) AS story_no,
-           stage AS step, ts AS at
-    FROM hops""", ("f_payments",))
+    , steps AS (
+      SELECT order_id, stage AS step, ts, stage_no AS rank FROM hops
+      UNION ALL SELECT order_id, 'compensation', paid_at, 4 FROM f_payments WHERE scenario = 'out-of-stock'
+      UNION ALL SELECT order_id, 'refund', paid_at + INTERVAL 60 SECONDS, 5 FROM f_payments WHERE scenario = 'out-of-stock')
+    SELECT order_id, CAST(row_number() OVER (PARTITION BY order_id ORDER BY ts, rank) AS INTEGER) AS story_no, step, ts AS at
+    FROM steps""", ("f_payments",))
 def saga_story_query(spark: SparkSession, sf: str) -> DataFrame:
-    rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage"))
-    return G.saga_story(hops(spark, sf).select("order_id", F.col("stage").alias("step"), F.col("ts").alias("at"), rank.alias("rank")))
+    """What happened to each order: the stages it reached, and where stock was out, the compensation asked for and the refund."""
+    step = lambda name, at: (F.col("order_id"), F.lit(name).alias("stage"), F.col(at).alias("ts"))
+    told = hops(spark, sf).unionByName(D.compensation(spark, sf).select(*step("compensation", "requested_at"))).unionByName(
+        D.refunds(spark, sf).select(*step("refund", "issued_at")))
+    rank = F.array_position(F.array(*[F.lit(s) for s in [*STAGES, "compensation", "refund"]]), F.col("stage"))
+    return G.saga_story(told.select("order_id", F.col("stage").alias("step"), F.col("ts").alias("at"), rank.alias("rank")))

@@ -334,12 +334,22 @@ def read_committed_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("outbox_tail", """
-    SELECT id, aggregateid, seq FROM (
-      SELECT sha256('payments/' || order_id || '/' || CASE status WHEN 'succeeded' THEN 'PaymentSucceeded' ELSE 'PaymentFailed' END) AS id,
-             order_id AS aggregateid, order_no AS seq FROM f_payments)
-    ORDER BY seq DESC LIMIT 5""", ("f_payments",))
+    SELECT id, aggregateid, type, created_at FROM (SELECT id, aggregateid, type, ts AS created_at FROM f_outbox)
+    ORDER BY created_at DESC, id DESC LIMIT 5""", ("f_outbox",))
 def outbox_tail(spark: SparkSession, sf: str) -> DataFrame:
-    """The five newest outbox rows by commit sequence (the row ids carry no order)."""
-    event = F.when(F.col("status") == "succeeded", "PaymentSucceeded").otherwise("PaymentFailed")
-    rows = V.outbox_rows(D.payments(spark, sf), "payments", "order_id", event, F.lit(None).cast("string"))
-    return rows.select("id", "aggregateid", D.order_no("aggregateid").alias("seq")).orderBy(F.desc("seq")).limit(5)
+    """The five newest outbox rows by the time of their commit; rows of one instant by id, which carries no order."""
+    return D.published_events(spark, sf).select("id", "aggregateid", "type", "created_at").orderBy(F.desc("created_at"), F.desc("id")).limit(5)
+
+
+@query("outcomes_by_service", """
+    SELECT service, count(*) AS records, count(*) FILTER (WHERE seq = 1) AS applied, count(*) FILTER (WHERE seq = 2) AS duplicates,
+           round(count(*) FILTER (WHERE seq = 1) / count(*), 6) AS applied_ratio
+    FROM (SELECT 'payment-service' AS service, seq FROM f_deliveries
+          UNION ALL SELECT 'inventory-service', 1 FROM f_log_payments
+          UNION ALL SELECT 'inventory-service', 2 FROM f_log_payments WHERE pos % 10 = 3) GROUP BY service""", ("f_deliveries", "f_log_payments"))
+def outcomes_by_service(spark: SparkSession, sf: str) -> DataFrame:
+    """Applied and duplicate deliveries of the two services that consume a topic each."""
+    consumers = F.create_map(F.lit("orders"), F.lit("payment-service"), F.lit("payments"), F.lit("inventory-service"))
+    log = D.log_orders(spark, sf).select(*V.DELIVERY).unionByName(D.log_payments(spark, sf).select(*V.DELIVERY))
+    outcomes = V.delivery_outcomes(D.deliveries(log)).withColumn("service", F.element_at(consumers, F.col("topic")))
+    return V.outcome_counts(outcomes, ["service"]).withColumn("applied_ratio", F.round("applied_ratio", 6))

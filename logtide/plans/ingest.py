@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtide import schemas as S
 from logtide.functions.tracecontext import carried
-from logtide.operators.claims import classify
+from logtide.operators.claims import classify, digest, offload
 from logtide.operators.decode import Writer, block_errors, declare, read_framed, read_versions, wire_header, with_reject_reason
 from logtide.operators.gate import gate_rows
 from logtide.operators.retry import dead_letters
@@ -14,7 +14,7 @@ from logtide.operators.services import published_spans, relayed
 from logtide.plans import derived as D
 from logtide.plans.registry import query
 from logtide.session import scratch_path
-from logtide.sinks.tables import codec_footprint, write_clustered, write_with_quarantine
+from logtide.sinks.tables import codec_footprint, read_quarantine, read_sink_lines, write_clustered, write_sorted_out
 from logtide.sources.files import raw_landing
 from logtide.sources.incremental import incremental_read
 from logtide.sources.tables import table
@@ -228,11 +228,11 @@ def publish_envelope(spark: SparkSession, sf: str) -> DataFrame:
            CASE WHEN order_no % 97 = 0 THEN 'invalid_json' END AS reason, count(*) AS records
     FROM f_orders GROUP BY ALL""", ("f_orders",))
 def file_sink_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    good, bad = scratch_path(spark, "file-sink"), scratch_path(spark, "quarantine")
-    write_with_quarantine(D.dirty(D.log_orders(spark, sf)), good, bad)
-    lines = spark.read.text(good).agg(F.count("*").alias("records")).select(
+    path, log = scratch_path(spark, "file-sink"), D.dirty(D.log_orders(spark, sf))
+    write_sorted_out(log, path)
+    lines = read_sink_lines(spark, path).agg(F.count("*").alias("records")).select(
         F.lit("file").alias("sink"), F.lit(None).cast("string").alias("reason"), "records")
-    held = spark.read.parquet(bad).groupBy(F.col("reject_reason").alias("reason")).agg(F.count("*").alias("records"))
+    held = read_quarantine(spark, path, log.schema).groupBy(F.col("reject_reason").alias("reason")).agg(F.count("*").alias("records"))
     return lines.unionByName(held.select(F.lit("quarantine").alias("sink"), "reason", "records"))
 
 
@@ -309,6 +309,34 @@ def codec_footprint_query(spark: SparkSession, sf: str) -> DataFrame:
     return codec_footprint(table(spark, sf, "events"), scratch_path(spark, "codecs"))
 
 
+@query("codec_roundtrip", """
+    SELECT codec, count(*) AS records, count(DISTINCT event_id) AS event_ids, round(sum(value), 2) AS total, codec <> 'none' AS smaller
+    FROM events, (SELECT unnest(['none', 'gzip', 'zstd']) AS codec) GROUP BY codec""")
+def codec_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """What comes back from the files of each codec, and whether they are smaller than those without one."""
+    path, events = scratch_path(spark, "codecs"), table(spark, sf, "events")
+    codecs = ("none", "gzip", "zstd")
+    sizes = codec_footprint(events, path, codecs)
+    back = spark.read.schema(T.StructType([*events.schema.fields, T.StructField("codec", T.StringType())])).parquet(path)
+    sums = back.groupBy("codec").agg(F.count("*").alias("records"), F.countDistinct("event_id").alias("event_ids"), F.round(F.sum("value"), 2).alias("total"))
+    return sums.join(sizes, "codec").select("codec", "records", "event_ids", "total", (F.col("ratio") > 1).alias("smaller"))
+
+
+@query("claim_check_references", """
+    SELECT 'attachments/' || doc_id AS key, 'event-' || doc_id AS event_id, 'payloads' AS bucket, CAST(strlen(text) AS BIGINT) AS size_bytes,
+           sha256(text) AS checksum, 'text/plain' AS content_type, CAST(strlen(text) AS BIGINT) AS blob_bytes
+    FROM documents WHERE strlen(text) > 2000""")
+def claim_check_references(spark: SparkSession, sf: str) -> DataFrame:
+    """The references that stay in the log, read back from their JSON, beside the blobs that left it."""
+    d = table(spark, sf, "documents").select(
+        F.concat(F.lit("attachments/"), F.col("doc_id").cast("string")).alias("key"), "text", F.concat(F.lit("event-"), F.col("doc_id").cast("string")).alias("event"))
+    parts = offload(d, "key", "text", F.col("event"), "payloads", "text/plain", max_bytes=2000)
+    refs = declare(parts["references"], S.ATTACHMENT, keep=())
+    blobs = digest(parts["blobs"]).select("key", F.col("actual_bytes").alias("blob_bytes"))
+    return refs.join(blobs, "key").select("key", F.col("eventId").alias("event_id"), "bucket", F.col("sizeBytes").alias("size_bytes"), "checksum",
+                                          F.col("contentType").alias("content_type"), "blob_bytes")
+
+
 @query("claim_check_offload", """
     SELECT 'attachments/' || doc_id AS key, CASE WHEN strlen(text) > 2000 THEN 'reference' ELSE 'inline' END AS kind,
            CAST(strlen(text) AS BIGINT) AS bytes, CASE WHEN strlen(text) > 2000 THEN sha256(text) END AS checksum

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logtide.operators import observe as O
+from logtide.operators.ordered import trailing_sum
 from logtide.operators.claims import redeem
 from logtide.operators.traces import trace_tree
 from logtide.plans import derived as D
@@ -69,6 +70,21 @@ def alert_states_query(spark: SparkSession, sf: str) -> DataFrame:
     return O.alert_states(grown, SERIES, F.col("increase") > 1, 120).select("event_type", "ts", "state")
 
 
+@query("lag_alert", """
+    , daily AS (SELECT part, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM f_log_orders GROUP BY ALL),
+    samples AS (SELECT part, day, sum(n) OVER (PARTITION BY part ORDER BY day RANGE BETWEEN INTERVAL 2 DAYS PRECEDING AND CURRENT ROW) AS lag FROM daily),
+    marked AS (SELECT *, lag > 5 AS hot, max(CASE WHEN NOT lag > 5 THEN day END) OVER (PARTITION BY part ORDER BY day) AS last_off FROM samples),
+    streaks AS (SELECT *, min(CASE WHEN hot THEN day END) OVER (PARTITION BY part, last_off) AS since FROM marked)
+    SELECT 'payment-service' AS consumer_group, part AS "partition", day AS ts, CAST(lag AS BIGINT) AS lag,
+           CASE WHEN NOT hot THEN 'inactive' WHEN day - since >= INTERVAL 1 DAY THEN 'firing' ELSE 'pending' END AS state
+    FROM streaks""", ("f_log_orders",))
+def lag_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Lag of a group that is always three days behind, sampled daily: an alert once it was above 5 for a day."""
+    days = D.log_orders(spark, sf).groupBy("partition", F.date_trunc("day", "timestamp").alias("ts")).agg(F.count("*").alias("n"))
+    behind = trailing_sum(days, ["partition"], "ts", "n", 3 * 86_400, "lag", block_seconds=30 * 86_400)
+    return O.alert_states(behind, ["partition"], F.col("lag") > 5, 86_400).select(F.lit("payment-service").alias("consumer_group"), "partition", "ts", "lag", "state")
+
+
 _TREE = """
     SELECT s.trace_id, s.span_id, s.name, split_part(s.name, '.', 1) || '-service' AS service,
            split_part(p.name, '.', 1) || '-service' AS parent_service,

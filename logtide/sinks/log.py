@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtide.functions.hashing import partition_for
-from logtide.operators.ordered import dense_positions
+from logtide.operators.ordered import chunked_positions
 from logtide.schemas import ENVELOPE
-from logtide.session import written
 
 
 def to_log(df: DataFrame, key: Column, topic: Column, value: Column, at: Column,
@@ -21,12 +20,11 @@ def to_log(df: DataFrame, key: Column, topic: Column, value: Column, at: Column,
 def place(records: DataFrame, partitions: int, order: list[str], partitioner=partition_for) -> DataFrame:
     """Give records their partition by key and strictly increasing offsets in ``order``.
 
-    ``order`` has to be unique per partition. Numbering works by range, so a partition
-    that holds most of the topic is still numbered by many tasks. Placed records are
-    written before they are ranged, because sampling the ranges reads them once more.
+    ``order`` has to be unique per partition. Numbering works by chunks of the order, so a partition that holds most of the
+    topic is still numbered by many tasks, and the records move once: what is stored afterwards is the only write.
     """
-    placed = written(records.withColumn("partition", partitioner(F.col("key"), partitions)), "placed")
-    return dense_positions(placed, ["topic", "partition"], order, "offset").select(*ENVELOPE.fieldNames())
+    placed = records.withColumn("partition", partitioner(F.col("key"), partitions))
+    return chunked_positions(placed, ["topic", "partition"], order, "offset").select(*ENVELOPE.fieldNames())
 
 
 def append_log(log: DataFrame, path: str) -> None:

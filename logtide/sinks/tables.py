@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logtide.operators.decode import parse_split
+from logtide.operators.decode import parse_split, with_reject_reason
 from logtide.operators.gate import GateReport, common_type, evolve, fitted, require_compatible
 
 
@@ -17,6 +17,28 @@ def write_with_quarantine(log: DataFrame, good_path: str, bad_path: str) -> None
     bad.write.mode("append").parquet(bad_path)
 
 
+def write_sorted_out(log: DataFrame, path: str) -> None:
+    """Values to ``path/sink=file``, one per line; broken records as JSON lines with their reason to ``path/sink=quarantine``.
+
+    One pass: every value is parsed once and every record written once. Line ends inside a value are blanks between its
+    tokens, since JSON strings cannot hold them, and become spaces.
+    """
+    tagged = with_reject_reason(log)
+    bad = F.to_json(F.struct(*log.columns, "reject_reason"))
+    line = F.when(F.col("reject_reason").isNull(), F.regexp_replace("value", "[\r\n]", " ")).otherwise(bad)
+    sink = F.when(F.col("reject_reason").isNull(), "file").otherwise("quarantine")
+    tagged.select(sink.alias("sink"), line.alias("value")).write.mode("append").partitionBy("sink").text(path)
+
+
+def read_sink_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(f"{path}/sink=file")
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The broken records as they came, with ``reject_reason``; ``schema`` is that of the log."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("reject_reason", T.StringType())])).json(f"{path}/sink=quarantine")
+
+
 def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: list[str], mode: str = "append") -> None:
     """Folders by ``partition_by``, rows inside each file in ``cluster_by`` order.
 

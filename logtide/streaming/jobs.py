@@ -9,16 +9,16 @@ from logtide.operators.delivery import relay
 from logtide.streaming.commits import CommitStore
 
 
-def drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def drain(stream: DataFrame, sink, checkpoint: str, mode: str = "append", partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Run a stream over all data that is there now, in rate-limited batches, then stop.
 
-    ``sink`` is a Parquet path or a ``foreachBatch`` function.
+    ``sink`` is a Parquet path, with folders by ``partition_by``, or a ``foreachBatch`` function.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if callable(sink):
         query = writer.foreachBatch(sink).start()
     else:
-        query = writer.format("parquet").option("path", sink).start()
+        query = writer.partitionBy(*partition_by).format("parquet").option("path", sink).start()
     query.awaitTermination()
     return query
 
@@ -93,9 +93,14 @@ def typed_events(events: DataFrame) -> DataFrame:
         "user_id", "product_id", "category", "country", "amount")
 
 
-def ingest_events(spark: SparkSession, source: str, schema: T.StructType, root: str) -> DataFrame:
-    """Continuous ingestion of an events folder into a typed table; returns the table."""
-    raw = spark.readStream.schema(schema).parquet(source)
+def ingest_events(spark: SparkSession, source: str, schema: T.StructType, root: str, max_files_per_trigger: int = 100,
+                  files_per_date: int = 4) -> DataFrame:
+    """Continuous ingestion of an events folder into a typed table with a folder per date, in bounded batches; returns the table.
+
+    A batch writes at most ``files_per_date`` files a date: rows are dealt by date and a part of it, so that neither a date
+    that has most of a batch becomes one task nor every task writes to every date.
+    """
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
     purchase = F.col("event_type") == "purchase"
     shaped = raw.select(
         "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("event_time"),
@@ -105,8 +110,9 @@ def ingest_events(spark: SparkSession, source: str, schema: T.StructType, root:
         F.concat(F.lit("cat-"), (F.col("event_id") % 6).cast("string")).alias("category"),
         F.concat(F.lit("c"), (F.col("user_id") % 8).cast("string")).alias("country"),
         F.when(purchase, F.col("value")).otherwise(F.lit(0.0)).alias("amount"))
-    drain(typed_events(shaped), f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table")
+    table = typed_events(shaped).repartition("event_date", F.pmod(F.xxhash64("event_id"), F.lit(files_per_date)))
+    drain(table, f"{root}/table", f"{root}/checkpoint", partition_by=("event_date",))
+    return spark.read.schema(table.schema).parquet(f"{root}/table")
 
 
 def tumbling_totals(payments: DataFrame, at: str, watermark: str | None = None, size: str = "1 minute") -> DataFrame:

@@ -4,12 +4,16 @@ import random
 from collections import defaultdict
 
 import pandas as pd
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
 from logtide.functions.hashing import murmur2, murmur2_batch, murmur2_native, partition_for
 from logtide.operators import ordered as O
+from logtide.operators.ordered import chunked_positions, order_bounds
+from logtide.operators.partitions import hot_keys
+from logtide.operators.sketches import hot_keys_sketched, key_sketches, smallest_share
 
 
 def sample(seed, n=400):
@@ -118,3 +122,36 @@ def test_published_placements(spark):
     assert place([f"order-{i}" for i in range(1, 7)], 3) == [1, 0, 0, 2, 2, 0]
     assert place(["customer-VIP"], 6) == [5]
     assert place(["customer-VIP"], 24) == [23]
+
+
+def test_chunked_positions_are_row_numbers(spark):
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b", None]), None if rng.random() < 0.05 else rng.choice([1, 1, 1, rng.randint(0, 50)]), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, t int, no int").repartition(7)
+    want = {}
+    for g in ("a", "b", None):
+        mine = sorted((x for x in data if x[0] == g), key=lambda x: (x[1] is not None, x[1] or 0, x[2]))
+        want |= {x[2]: i for i, x in enumerate(mine)}
+    for chunks in (1, 3, 64):
+        got = {r.no: r.position for r in chunked_positions(df, ["g"], ["t", "no"], chunks=chunks).collect()}
+        assert got == want
+    assert {r.no: r.position for r in chunked_positions(df.drop("g"), [], ["no"]).collect()} == {i: i for i in range(3000)}
+    assert chunked_positions(df.limit(0), ["g"], ["t", "no"]).count() == 0
+    # Ties in the first column are cut by the next, so one value of it is no single chunk.
+    assert len(order_bounds(df.where("t = 1"), ["t", "no"], 8)) == 7
+
+
+def test_sketches_find_every_hot_key(spark):
+    rng = random.Random(6)
+    keys = ["hot"] * 900 + ["warm"] * 300 + [None] * 50 + [f"k{rng.randint(0, 5000)}" for _ in range(5000)]
+    rng.shuffle(keys)
+    df = spark.createDataFrame([(k, i % 3) for i, k in enumerate(keys)], "key string, day int").repartition(6)
+    sketches = key_sketches(df, "key", F.col("day"), 1000)
+    assert sketches.count() == 3 and sketches.agg(F.sum("records")).first()[0] == len(keys)
+    for window, share in ((None, 0.02), (F.col("day"), 0.02)):
+        exact = hot_keys(df, "key", share, window).where("key IS NOT NULL")
+        found = hot_keys_sketched(df, "key", sketches, share, 1000, window)
+        columns = exact.columns
+        assert sorted(map(tuple, found.select(*columns).collect())) == sorted(map(tuple, exact.collect())) != []
+    with pytest.raises(ValueError, match="sketch"):
+        hot_keys_sketched(df, "key", sketches, smallest_share(1000) / 2, 1000)
