@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logtide.llm.common import BYTE_BASE, mix64
+from logtide.llm.common import BYTE_BASE, bit_filter, mix64
 from logtide.session import written
 
 MIN_COUNT = 30
@@ -20,8 +20,6 @@ UNDETERMINED = "und"
 SUBSUMED = 80
 #: Bytes of text hashed at once, words counted before a task sends its counters, entries in one row of a stripe.
 SLICE_BYTES, FLUSH_WORDS, ROW_ENTRIES = 1 << 20, 1 << 21, 512
-#: Filter bits per frequent item, and the most a filter may have (32 MB); beyond it, it only lets more pass.
-FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 28
 #: Byte classes: 0 inside a word, 1 between words, 2 between pieces.
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = 1
@@ -102,35 +100,6 @@ class Words:
             at = to
 
 
-class BitFilter:
-    """Which codes may be frequent: a bitmap over the low bits of a hash. Says yes for all that are."""
-
-    def __init__(self, bits: int, words: np.ndarray):
-        self.mask, self.words = np.uint64(bits - 1), words
-
-    def __contains__(self, code: int) -> bool:
-        return bool(self.has(np.array([code], np.int64))[0])
-
-    def has(self, codes: np.ndarray) -> np.ndarray:
-        at = codes.view(np.uint64) & self.mask
-        return (self.words[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def bit_filter(codes: DataFrame, n: int) -> BitFilter:
-    """The filter of ``code``, built from partial bitmaps in Spark; the driver receives its bytes and no code."""
-    bits = 1 << 18
-    while bits < min(n * FILTER_BITS, MOST_FILTER_BITS):
-        bits <<= 1
-    at = F.col("code").bitwiseAND(F.lit(bits - 1)) + 1
-    rows = codes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b")).collect()
-    words = np.zeros(bits // 8, np.uint8)
-    for r in rows:
-        part = np.frombuffer(bytes(r.b), np.uint8)
-        low = (r.bucket - 1) * len(part)
-        words[low:low + len(part)] = part
-    return BitFilter(bits, words)
-
-
 def pair_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(mix64(a.view(np.uint64)) + b.view(np.uint64)).view(np.int64)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from logtide.session import written
@@ -80,15 +83,81 @@ def shingle_set(words: np.ndarray, size: int = 5) -> np.ndarray:
     return np.unique(mix64(out))
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+#: Filter bits per code, and the most a filter may have (32 MB); beyond it, it only lets more pass.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 28
+
+
+class BitFilter:
+    """Which codes may be in a set: a bitmap over their low bits. Says yes for all that are."""
+
+    def __init__(self, bits: int, words: np.ndarray):
+        self.mask, self.words = np.uint64(bits - 1), words
+
+    def __contains__(self, code: int) -> bool:
+        return bool(self.has(np.array([code], np.int64))[0])
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        at = codes.view(np.uint64) & self.mask
+        return (self.words[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bit_filter(codes: DataFrame, n: int) -> BitFilter:
+    """The filter of ``code``, built from partial bitmaps in Spark; the driver receives its bytes and no code."""
+    bits = 1 << 18
+    while bits < min(n * FILTER_BITS, MOST_FILTER_BITS):
+        bits <<= 1
+    at = F.col("code").bitwiseAND(F.lit(bits - 1)) + 1
+    rows = codes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b")).collect()
+    words = np.zeros(bits // 8, np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r.b), np.uint8)
+        low = (r.bucket - 1) * len(part)
+        words[low:low + len(part)] = part
+    return BitFilter(bits, words)
+
+
+#: A graph of so many edges, 16 MB, is solved by one task.
+LOCAL_EDGES = 1 << 20
+
+
+def label_nodes(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the edges and the smallest node reachable from each: roots hook onto smaller neighbours, paths are halved."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        now = label.copy()
+        np.minimum.at(now, label[a], least)
+        np.minimum.at(now, label[b], least)
+        while (now[now] != now).any():
+            now = now[now]
+        if (now == label).all():
+            return nodes, nodes[label]
+        label = now
+
+
+def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [[b.column(i).to_numpy() for i in (0, 1)] for b in batches if b.num_rows]
+    if parts:
+        nodes, labels = label_nodes(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(labels)], names=["node", "component"])
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node of an edge that is not a loop.
 
     Alternates two steps until nothing changes: every neighbour above a node links to the
     smallest node around it, then every node links its smaller neighbours to the smallest.
     Stars of any size stay linear: minima combine in each task before the shuffle. Each
-    round ends in a written table.
+    round ends in a written table. A graph of at most ``local_edges`` edges needs no rounds:
+    one task holds all of it.
     """
-    at = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
+    least, most = F.least(a, b).cast("long").alias("v"), F.greatest(a, b).cast("long").alias("u")
+    at = written(edges.select(most, least).where("u <> v"), "edges")
+    if at.count() <= local_edges:
+        return written(at.coalesce(1).mapInArrow(_label, "node long, component long"), "components")
+    at = written(at.distinct(), "edges")
     state = _signature(at)
     for _ in range(rounds):
         if not state[0]:

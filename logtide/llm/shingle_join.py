@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logtide.llm.common import WordHasher, connected_components, mix64, shingle_set
+from logtide.llm.common import WordHasher, bit_filter, connected_components, mix64, shingle_set
 from logtide.operators.ordered import dense_positions
 from logtide.session import written
 
@@ -17,8 +17,8 @@ SIZE = 5
 PERCENT = 80
 BUCKET_SHINGLES = 2_000_000
 FLUSH_SHINGLES = 500_000
-FILTER_BITS = 1 << 23
-RANGE_DOCS = 1_000_000
+RANGE_DOCS = 100_000
+SALTS = 32
 BLOCK = 512
 MU = 0.0085  # cost of a probe against a merge step, from the DivideSkip paper
 MULTI = np.uint32(0xFFFFFFFF)
@@ -163,35 +163,13 @@ def _count(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return unique, np.bincount(where, counts[counts > 0], len(unique)).astype(np.int64)
 
 
-def _slot(ids: np.ndarray) -> np.ndarray:
-    return (mix64(ids.astype(np.uint64) + np.uint64(1)) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bit set of the ids of a task, in rows of 8 KB."""
-    bits = np.zeros(FILTER_BITS, bool)
-    for batch in batches:
-        bits[_slot(batch.column(0).to_numpy())] = True
-    if bits.any():
-        packed = np.packbits(bits).reshape(-1, 8192)
-        rows = np.nonzero(packed.any(axis=1))[0]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([packed[r].tobytes() for r in rows], pa.binary())], names=["row", "bits"])
-
-
-def _or(rows: pa.Table) -> pa.Table:
-    bits = np.zeros(8192, np.uint8)
-    for b in rows.column("bits").to_pylist():
-        bits |= np.frombuffer(b, np.uint8)
-    return pa.table({"row": pa.array(rows.column("row").to_pylist()[:1], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-
-def _shingles(size: int, bits: bytes):
+def _shingles(size: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, wanted = WordHasher(), np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+        hasher = WordHasher()
         for batch in batches:
             named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = batch.column(0).fill_null(0).to_numpy()
-            at = np.nonzero(named & wanted[_slot(ids)])[0]
+            at = np.nonzero(named & wanted.value.has(ids))[0]
             sets = [shingle_set(hasher.words(batch.column(1)[int(i)].as_py()), size) for i in at]
             yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "k1", "s"])
@@ -325,19 +303,18 @@ def component_ids(docs: DataFrame, percent: int = PERCENT, size: int = SIZE, id_
     texts = _texts(docs, id_col, text_col)
     signed = written(texts.mapInArrow(_signatures(size), "doc_id long, n long, k1 long, k2 long"), "signatures")
     rows, total = signed.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    buckets = int(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_SHINGLES)))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(max(tasks, -(-total // BUCKET_SHINGLES)))
     posted = texts.mapInArrow(_postings(size, buckets), "bucket int, hashes binary, who binary, ids binary, counted binary, counts binary")
-    ranges = max(64, -(-rows // RANGE_DOCS))
+    ranges = max(2 * tasks, -(-rows // RANGE_DOCS))
     counted = posted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(ranges), "range long, ids binary, counts binary")
     shared = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_sums, "doc_id long, shared long")
     named = signed.where("n > 0 AND doc_id IS NOT NULL")
     known = named.join(shared, "doc_id", "left").groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.max("shared").alias("shared"))
     reps = written(known, "sets")
     sets = reps.where(f"shared * 100 >= n * {percent}")
-    bits = np.zeros((FILTER_BITS // 8 // 8192, 8192), np.uint8)
-    for r in sets.select("doc_id").mapInArrow(_slots, "row int, bits binary").groupBy("row").applyInArrow(_or, "row int, bits binary").collect():
-        bits[r.row] = np.frombuffer(r.bits, np.uint8)  # 1 MB in all, whatever the number of documents
-    fetched = texts.mapInArrow(_shingles(size, bits.tobytes()), "doc_id long, k1 long, s binary")
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(sets.select(F.col("doc_id").alias("code")), sets.count()))
+    fetched = texts.mapInArrow(_shingles(size, wanted), "doc_id long, k1 long, s binary")
     left = written(sets.join(fetched, ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n", "s"), "linkable")
     links = _find_links(left, percent, block)
     parts = connected_components(links)
@@ -363,12 +340,14 @@ def _find_links(left: DataFrame, percent: int, block: int) -> DataFrame:
     hub = prefixes.groupBy("token").agg(F.min("doc_id").alias("hub"), F.count("*").alias("c")).where("c > 1").select("token", "hub")
     near = prefixes.join(hub, "token").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).where("a <> b").distinct()
     groups = connected_components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    ids = left.select("doc_id", "n", F.col("doc_id").alias("component"))
-    placed = written(ids.join(groups, "doc_id").join(sizes, "grp"), "grouped")
-    small = placed.where(F.col("members") <= block).select(F.concat_ws("/", F.lit("g"), "grp").alias("block"), F.lit(0).alias("side"), "doc_id", "component")
+    # Only groups beyond a block are named, salted: the members of one meet their flag in many tasks.
+    over = groups.groupBy("grp").agg(F.count("*").alias("members")).where(F.col("members") > block)
+    over = over.select("grp", F.lit(True).alias("large"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    ids = left.select("doc_id", "n", F.col("doc_id").alias("component"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    placed = written(ids.join(groups, "doc_id").join(over, ["grp", "salt"], "left").drop("salt"), "grouped")
+    small = placed.where("large IS NULL").select(F.concat_ws("/", F.lit("g"), "grp").alias("block"), F.lit(0).alias("side"), "doc_id", "component")
     links = written(_search(small, left, percent), "links")
-    large = placed.where(F.col("members") > block).drop("members")
+    large = placed.where("large").drop("large")
     if large.isEmpty():
         return links
     sets = written(left.join(large.select("doc_id").distinct(), "doc_id"), "large")

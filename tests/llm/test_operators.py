@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtide.llm import embed_dedup, language, mixing, packing, pii, queries, secret_scan, sharding, shingle_join, topk, toxicity
-from logtide.llm.common import connected_components, documents, held_out
+from logtide.llm.common import connected_components, documents, held_out, label_nodes
 from logtide.sources.tables import table
 from tests.llm import plain
 
@@ -48,9 +48,22 @@ def collected(df, *columns):
 
 def test_components_of_chain_star_and_loop(spark):
     rows = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 200)] + [(7, 7), (500, 500)]
-    found = dict(collected(connected_components(spark.createDataFrame(rows, "a long, b long")), "node", "component"))
-    assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(200)}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    for local in (1 << 20, 0):  # in one task, and in rounds
+        found = dict(collected(connected_components(spark.createDataFrame(rows, "a long, b long"), local_edges=local), "node", "component"))
+        assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(200)}
+        assert connected_components(spark.createDataFrame([], "a long, b long"), local_edges=local).count() == 0
+
+
+def test_labels_of_random_graphs():
+    rng = np.random.default_rng(8)
+    for n, m in ((30, 20), (200, 190), (1000, 600), (5000, 4999)):
+        u, v = rng.integers(0, n, m) * 7, rng.integers(0, n, m) * 7
+        if n == 5000:  # a long path in random order
+            u = rng.permutation(m)
+            v = u + 1
+        nodes, labels = label_nodes(u, v)
+        want = plain.components(sorted({*u.tolist(), *v.tolist()}), zip(u.tolist(), v.tolist(), strict=True))
+        assert dict(zip(nodes.tolist(), labels.tolist(), strict=True)) == want
 
 
 # -- 1: top-k
