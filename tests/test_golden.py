@@ -16,7 +16,9 @@ from logtide.functions.tracecontext import carried, inject, parent_of
 from logtide.operators import claims, decode, delivery as V, gate, observe, partitions, retry, stages, traces
 from logtide.operators.joins import interval_join
 from logtide.sinks.log import kafka_rows, place, to_log
-from logtide.sinks.tables import gated_append, read_evolved, write_clustered, write_with_quarantine
+from logtide.sinks.tables import (
+    gated_append, read_evolved, read_quarantine, read_sink_lines, write_clustered, write_sorted_out, write_with_quarantine,
+)
 from logtide.sources.files import read_blobs, read_lines
 from logtide.sources.incremental import incremental_read, jdbc_incremental_options, next_mark
 from logtide.sources.log import from_kafka, kafka_options
@@ -539,3 +541,13 @@ def test_contexts_are_derived_and_rebuilt(spark):
     assert Counter((name.get((s.trace_id, s.parent_span_id)), s.name) for s in spans) == {
         (None, "order.create"): 3, ("order.create", "payment.process"): 3, ("payment.process", "inventory.reserve"): 3, ("inventory.reserve", "shipping.create"): 2,
         ("inventory.reserve", "payment.compensate"): 1}
+
+
+def test_one_pass_sink_sorts_out_and_keeps_lines_whole(spark, tmp_path):
+    log = spark.createDataFrame([("a", '{"x":\n 1,\r\n"s":"two words"}', 0), ("b", "heyyy\nyou", 1), ("c", None, 2), ("d", "[1]", 3)], "key string, value string, offset long")
+    path = str(tmp_path / "out")
+    write_sorted_out(log, path)
+    write_sorted_out(log.where("offset = 3"), path)
+    assert sorted(json.dumps(json.loads(r.value)) for r in read_sink_lines(spark, path).collect()) == ["[1]", "[1]", '{"x": 1, "s": "two words"}']
+    held = {r.key: (r.value, r.offset, r.reject_reason) for r in read_quarantine(spark, path, log.schema).collect()}
+    assert held["b"][:2] == ("heyyy\nyou", 1) and held["c"][:2] == (None, 2) and all(v[2] for v in held.values()) and len(held) == 2
