@@ -7,7 +7,6 @@ from math import lcm
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logtide.functions.hashing import murmur2, partition_for, placement, salted
-from logtide.session import written
 
 
 def assign_partitions(df: DataFrame, key: str, partitions: int, partitioner=partition_for,
@@ -53,10 +52,10 @@ def key_counts(df: DataFrame, key: str, window: Column | None = None) -> DataFra
 def hot_keys(df: DataFrame, key: str, min_share: float, window: Column | None = None) -> DataFrame:
     """Keys above a share of all records (of their time window when one is given).
 
-    Counts are pre-aggregated per task and written, so the rows are read once; totals are taken from the counts. Where
-    counting every key is too much, see ``logtide.operators.sketches``.
+    Counts are pre-aggregated per task; totals are taken from the counts, not the rows. Where counting every key is too
+    much, see ``logtide.operators.sketches``.
     """
-    counts = written(key_counts(df, key, window), "key-counts")
+    counts = key_counts(df, key, window)
     if window is None:
         total = counts.agg(F.sum("records")).scalar()
         shared = counts.withColumn("share", F.col("records") / total)
