@@ -179,7 +179,7 @@ def _furniture(n: Node, page: int) -> bool:
     """Menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments, by element, role and class names."""
     if n.tag in REMOVED or n.hidden or n.role in ROLES:
         return True
-    if n.tag == "header" and not _inside(n, "article"):
+    if n.tag == "header" and not _inside(n, "article", "main"):
         return True
     names = n.names & FURNITURE
     if names and n.tag not in ("html", "body", "main") and not n.heads:
@@ -187,13 +187,14 @@ def _furniture(n: Node, page: int) -> bool:
             return True
         if not (names <= {"header", "banner"} and n.names & OF_ARTICLE) and 2 * n.size <= page:
             return True
-    return n.tag in ("ul", "ol", "div", "section", "table") and n.links >= 2 and 10 * n.linked >= 8 * n.size and not n.heads and n.size > 0
+    menu = n.tag in ("ul", "ol", "div", "section", "table") and n.links >= 2 and 10 * n.linked >= 8 * n.size and not n.heads
+    return menu and n.size > 0 and not _inside(n, "article")
 
 
-def _inside(n: Node, tag: str) -> bool:
+def _inside(n: Node, *tags: str) -> bool:
     n = n.up
     while n is not None:
-        if n.tag == tag:
+        if n.tag in tags:
             return True
         n = n.up
     return False
@@ -216,7 +217,9 @@ class Article:
                 continue
             within = n.up is not None and under[id(n.up)]
             under[at] = within
-            if n.tag == "article" and not within:
+            if n.tag == "article" and within:  # by the rules of HTML, comments on the outer one
+                gone.add(at)
+            elif n.tag == "article":
                 articles.append(n)
                 under[at] = True
             elif n.tag == "main" or n.role in ("main", "articlebody"):

@@ -282,6 +282,11 @@ def test_main_text_furniture():
     assert one("<body><article><p>kept kept</p></article><div class=comments><article><p>no</p></article></div>") == "kept kept"
 
 
+def test_main_text_inside_the_article():
+    assert one("<article><p>text</p><ul><li><a href=a>one</a><li><a href=b>two</a></ul><section><article><p>remark</p></article></section></article>") == "text\none\ntwo"
+    assert one("<body><header><h1>Site</h1></header><main><header><h1>T</h1></header><p>text</p></main>") == "T\ntext"
+
+
 def site(n, host="a.example", article=False):
     """Pages of one template without telling names: menu, teaser and imprint are plain boxes around a body of its own."""
     rng = random.Random(n)
