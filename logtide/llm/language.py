@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 UNDETERMINED = "und"
+SLICE = 256
 
 
 _TABLES: dict[str, np.ndarray] = {}
@@ -100,7 +101,7 @@ def infer(loglike: np.ndarray, rounds: int = 12) -> tuple[int, float, np.ndarray
     chosen = [int(np.argmax(totals))]
     best = float((totals - top.sum()).max())
     part = np.ones(1)
-    for lang in order[:8]:
+    for lang in order:
         if lang in chosen or shares[lang] < 1e-3:
             continue
         more, value = _em(like[:, [*chosen, lang]] + 1e-300, rounds)
@@ -114,23 +115,27 @@ def infer(loglike: np.ndarray, rounds: int = 12) -> tuple[int, float, np.ndarray
     return first, float(min(1.0, spread[first] * sure)), spread
 
 
-def _predict(model: dict):
+def _predict(model: dict, at: int, keep: list[int]):
+    """The languages of the texts in column ``at``, beside the columns ``keep``; only a slice of the texts is decoded at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, logp = model["langs"], model["logp"]
-        for batch in batches:
-            names, scores, mixes = [], [], []
-            for text in batch.column(1).to_pylist():
-                grams, begins = word_grams(text or "", len(logp))
-                if not len(grams) or not langs:
-                    names.append(UNDETERMINED), scores.append(0.0), mixes.append({})
-                    continue
-                words = np.add.reduceat(logp[grams], begins, axis=0)
-                best, score, spread = infer(words.astype(np.float64))
-                names.append(langs[best]), scores.append(score), mixes.append({langs[i]: float(spread[i]) for i in np.nonzero(spread)[0]})
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:1], *batch.columns[2:], pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array([list(m.items()) for m in mixes], pa.map_(pa.string(), pa.float64()))],
-                names=[batch.schema.names[0], *batch.schema.names[2:], "lang_pred", "score", "mixture"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(lo, SLICE)
+                names, scores, mixes = [], [], []
+                for text in batch.column(at):
+                    grams, begins = word_grams(text.as_py() or "", len(logp))
+                    if not len(grams) or not langs:
+                        names.append(UNDETERMINED), scores.append(0.0), mixes.append({})
+                        continue
+                    words = np.add.reduceat(logp[grams], begins, axis=0)
+                    best, score, spread = infer(words.astype(np.float64))
+                    names.append(langs[best]), scores.append(score), mixes.append({langs[i]: float(spread[i]) for i in np.nonzero(spread)[0]})
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+                     pa.array([list(m.items()) for m in mixes], pa.map_(pa.string(), pa.float64()))],
+                    names=[*(batch.schema.names[i] for i in keep), "lang_pred", "score", "mixture"])
+            pa.default_memory_pool().release_unused()
     return run
 
 
@@ -140,7 +145,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", keep: tuple[st
     ``und`` with score 0 if the text is null or has no letter, or if no language was learned. The unit of the mixture is a
     word: its likelihood in a language is the product of its trigrams'. Equal texts get equal results.
     """
-    first, *rest = keep
-    picked = docs.select(F.col(first), F.col(text_col).alias("_text"), *rest)
+    sent = list(keep) if text_col in keep else [*keep, text_col]
+    picked = docs.select(*sent)
     types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema.fields)
-    return picked.mapInArrow(_predict(model), types + "lang_pred string, score double, mixture map<string,double>")
+    return picked.mapInArrow(_predict(model, sent.index(text_col), list(range(len(keep)))), types + "lang_pred string, score double, mixture map<string,double>")

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 1024
-CACHED_WORDS = 700_000
+#: Bytes of cached words and ids, and what one entry takes beside its characters and ids.
+CACHED_BYTES, ENTRY_BYTES = 160 << 20, 180
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -76,49 +77,61 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.whole, self.words = (Tokenizer.from_file(path) for _ in range(3))
-        self.whole.normalizer = self.words.normalizer = normalizers.Sequence([])  # chunks come lower-cased
-        self.words.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.split, self.plain, self.cache = re.compile(self.PATTERN).findall, re.compile(self.PLAIN).fullmatch, {}
+        # One tokenizer, used in three ways: as its file says, without normalising (chunks come lower-cased), and split at blanks alone.
+        self.tokenizer = Tokenizer.from_file(path)
+        given = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        bare = normalizers.Sequence([])
+        blanks = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ways = {"given": given, "whole": (bare, given[1]), "words": (bare, blanks)}
+        self.split, self.plain, self.cache, self.held = re.compile(self.PATTERN).findall, re.compile(self.PLAIN).fullmatch, {}, 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
+    def _use(self, way: str):
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.ways[way]
+        return self.tokenizer
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
+        self.cache[chunk] = ids
+        self.held += ENTRY_BYTES + len(chunk) + len(ids)
+
     def _learn(self, chunks: list[str]) -> None:
         """Caches the ids of chunks. A word with one mark behind it takes those of the word and of the mark."""
         tails = [c for c in chunks if c[-1] in ".," and c[:-1].isalpha()]
         words = {c for c in chunks if c.isalpha()}
         words.update(w for c in tails if (w := c[:-1]) not in self.cache)
         tailed = set(tails)
-        self._encode(self.words, list(words))
-        self._encode(self.whole, [".", ",", *(c for c in chunks if c not in words and c not in tailed)])
+        self._encode("words", list(words))
+        self._encode("whole", [".", ",", *(c for c in chunks if c not in words and c not in tailed)])
         for c in tails:
-            self.cache[c] = self.cache[c[:-1]] + self.cache[c[-1]]
+            self._keep(c, self.cache[c[:-1]] + self.cache[c[-1]])
 
-    def _encode(self, tokenizer, chunks: list[str]) -> None:
+    def _encode(self, way: str, chunks: list[str]) -> None:
         """Encodes chunks together and cuts their ids where a word's last token ends, as many words as each chunk has."""
+        tokenizer = self._use(way)
         for lo in range(0, len(chunks), 4096):
             part = chunks[lo:lo + 4096]
             lines = [" ".join(part[k:k + 64]) for k in range(0, len(part), 64)]
             ids = np.array([i for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], "<u4")
             ends = np.nonzero(self.ends[ids])[0] + 1
-            words = np.arange(1, len(part) + 1) if tokenizer is self.words else np.cumsum([len(self.split(c)) for c in part])
+            words = np.arange(1, len(part) + 1) if way == "words" else np.cumsum([len(self.split(c)) for c in part])
             raw, start = ids.tobytes(), 0
             for c, stop in zip(part, (4 * ends[words - 1]).tolist(), strict=True):
-                self.cache[c] = raw[start:stop]
+                self._keep(c, raw[start:stop])
                 start = stop
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.cache) > CACHED_WORDS:
+        if self.held > CACHED_BYTES:
             self.cache.clear()
+            self.held = 0
         chunks = [None if "<|" in t or not self.plain(t) else t.lower().split() for t in texts]
         fresh = set()
         for c in chunks:
             fresh.update(c or ())
         self._learn([c for c in fresh if c not in self.cache])
-        known = self.cache.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if c is None
+        known, tokenizer = self.cache.__getitem__, self._use("given")
+        return [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if c is None
                 else np.frombuffer(b"".join(map(known, c)), "<u4") for t, c in zip(texts, chunks, strict=True)]
 
 
@@ -128,10 +141,9 @@ def _pack(path: str, size: int, most: int):
         base = TaskContext.get().partitionId() << 33
         for batch in batches:
             docs = batch.column(0)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), 256):
+            for lo in range(0, batch.num_rows, 256):
                 pieces = []
-                for k, ids in enumerate(tokens.ids(texts[lo:lo + 256])):
+                for k, ids in enumerate(tokens.ids([t.as_py() or "" for t in batch.column(1).slice(lo, 256)])):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4", copy=False)
                     for p, start in enumerate(range(0, len(ids), size)):
                         part = ids[start:start + size]
@@ -143,6 +155,7 @@ def _pack(path: str, size: int, most: int):
                     docs.take(at), pa.array([x[1] for x in pieces], pa.int32()), *[pa.array([x[i] for x in pieces], pa.int64()) for i in (2, 3, 4)],
                     pa.array([base + b for b, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            pa.default_memory_pool().release_unused()
     return run
 
 

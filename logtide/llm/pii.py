@@ -108,8 +108,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     item = pa.struct([("pattern", pa.string()), ("instance", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     for batch in batches:
         base, found = [], []
-        for text in batch.column(1).to_pylist():
-            text = text or ""
+        for value in batch.column(1):
+            text = value.as_py() or ""
             spans = base_spans(text)
             base.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans])
             found.append([dict(zip(("pattern", "instance", "kind", "start", "end"), c, strict=True)) for c in candidates(text, spans)])
@@ -178,7 +178,8 @@ def digest_columns(found: DataFrame, kinds: tuple[str, ...] = KINDS, by_start: b
 def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for value, marked in zip(batch.column(0), batch.column(1), strict=True):
+            text, spans = value.as_py(), marked.as_py()
             if text is not None and spans:
                 done, parts = 0, []
                 for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
@@ -196,7 +197,9 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with every found span replaced by its kind in brackets; other rows pass as they are."""
     found = find_pii(docs).select("doc_id", "digest", F.concat("base", "extra").alias("spans")).where("size(spans) > 0")
     found = found.groupBy(F.col("doc_id").alias("id"), "digest").agg(F.first("spans").alias("spans"))
-    keyed = docs.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), F.struct("*").alias("row"))
-    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("digest")), "left").select("text", "spans", "row")
+    rest = [c for c in docs.columns if c != "text"]
+    row = F.struct(*rest)
+    keyed = docs.select("text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), row.alias("row"))
+    joined = keyed.join(found, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("digest")), "left").select("text", "spans", "row")
     done = joined.mapInArrow(_redact, f"text string, row {keyed.schema['row'].dataType.simpleString()}")
     return done.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -7,17 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logtide.llm import (collocations, embed_dedup, hard_negatives, html_text, language, mixing, packing, pii, secret_scan, sharding, shingle_join, topk,
                          toxicity)
 from logtide.llm.common import documents, held_out
+from logtide.llm.stages import run as pipeline, tokenizer_path
 from logtide.sources.tables import table
 
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -78,14 +70,8 @@ def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(table(spark, folder, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, folder)
-
-
-QUERIES = {f.__name__: f for f in (op1_topk, op2_embed_dedup, op3_mixing, op4_packing, op5_language, op6_pii, op7_secrets, op8_sharding,
-                                   op9_shingle_join, op10_toxicity, op11_hard_negatives, op12_collocations, op13_main_text, pipeline)}
+QUERIES = {"pipeline": pipeline} | {f.__name__: f for f in (op1_topk, op2_embed_dedup, op3_mixing, op4_packing, op5_language, op6_pii, op7_secrets, op8_sharding,
+                                   op9_shingle_join, op10_toxicity, op11_hard_negatives, op12_collocations, op13_main_text)}
 ORACLES: dict[str, str] = {
     "op11_hard_negatives": """
 WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -16,6 +16,7 @@ from logtide.session import written
 SIZE = 5
 PERCENT = 80
 BUCKET_SHINGLES = 2_000_000
+#: Shingles that a task holds before it sends them on.
 FLUSH_SHINGLES = 500_000
 RANGE_DOCS = 100_000
 SALTS = 32
@@ -169,13 +170,24 @@ def _shingles(size: int, wanted):
         for batch in batches:
             named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             ids = batch.column(0).fill_null(0).to_numpy()
-            at = np.nonzero(named & wanted.value.has(ids))[0]
-            sets = [shingle_set(hasher.words(batch.column(1)[int(i)].as_py()), size) for i in at]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at], pa.int64()), pa.array([_key(s) for s in sets], pa.int64()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "k1", "s"])
+            held, total = [], 0
+            for i in np.nonzero(named & wanted.value.has(ids))[0]:
+                s = shingle_set(hasher.words(batch.column(1)[int(i)].as_py()), size)
+                held.append((ids[i], _key(s), s.tobytes()))
+                total += len(s)
+                if total >= FLUSH_SHINGLES:
+                    yield _rows(held)
+                    held, total = [], 0
+            yield _rows(held)
+            pa.default_memory_pool().release_unused()
     return run
 
 
+def _rows(held: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held], pa.int64()),
+                                       pa.array([h[2] for h in held], pa.binary())], names=["doc_id", "k1", "s"])
+
+
 def least_overlap(n: int | np.ndarray, m: int | np.ndarray, percent: int = PERCENT):
     """Fewest common elements of sets of n and m elements with 100 * intersection >= percent * union."""
     return -(-percent * (n + m) // (100 + percent))
