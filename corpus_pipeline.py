@@ -1,73 +1,8 @@
-"""A training corpus from ``documents``: language ID, near-duplicate removal, PII, mixing, packing.
+"""A training corpus from ``documents``: language ID, near-duplicate removal, PII, mixing, packing (``logtide.llm.stages``)."""
 
-Every stage works on all rows of the one before, written as Parquet and read again. None can be expressed in SQL: tests
-hold each against a plain version.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from logtide.llm import language, mixing, packing, pii, shingle_join
-from logtide.llm.common import documents, held_out
-from logtide.llm.queries import tokenizer_path
-from logtide.session import written
+from logtide.llm.stages import STAGES, run
 
+#: None of the stages can be expressed in SQL: tests hold each against a plain version.
 ORACLE_SQL = None
 
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose language cannot be told: null text, or no letter in it. Others get the language found.
-
-    If no language can be learned, documents with a letter stay as they are.
-    """
-    model = language.fit(docs, ~held_out())
-    if not model["langs"]:
-        return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language.predict(docs.select("text", F.struct("*").alias("row")), model, keep=("row",))
-    kept = found.where(F.col("lang_pred") != language.UNDETERMINED)
-    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns])
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by 5-word shingles at Jaccard 0.8: the one with the smallest id.
-
-    Of rows that repeat this id, one stays (the smallest text); documents without an id all stay.
-    """
-    groups = shingle_join.component_ids(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    joined = docs.join(kept, "doc_id", "left_semi")
-    return joined.dropDuplicates(["doc_id"]).union(docs.where("doc_id IS NULL")).select(*docs.columns)
-
-
-def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by its kind in brackets; every document stays. ``n_chars`` follows the text."""
-    return pii.redact(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
-
-
-def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes documents of each source, some more than once, so that words come near the sources' targets."""
-    return mixing.mixed_rows(docs)
-
-
-def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents' tokens into sequences of 4096."""
-    return packing.pack(docs, tokenizer_path())
-
-
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", language_id),
-    ("near_duplicates", near_duplicates),
-    ("pii", pii_redaction),
-    ("mixing", source_mixing),
-    ("packing", sequence_packing),
-]
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
