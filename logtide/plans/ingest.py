@@ -108,7 +108,7 @@ FRAMED_READER = S.T.StructType().add("orderId", "string", False).add("customer",
            CASE WHEN reason IS NULL THEN CASE WHEN order_no % 2 = 0 THEN 'NONE' WHEN order_no % 4 = 1 THEN 'SUMMER10' END END AS discount_code,
            CASE WHEN reason IS NULL THEN 'web' END AS channel
     FROM (SELECT *, CASE WHEN order_no % 97 = 0 THEN 'not framed' WHEN order_no % 89 = 0 THEN 'unknown schema' WHEN order_no % 83 = 0 THEN 'not JSON'
-                         WHEN order_no % 79 = 0 THEN 'misfit: total' WHEN order_no % 73 = 0 THEN 'misfit: orderId' END AS reason FROM f_orders)""", ("f_orders",))
+                         WHEN order_no % 73 = 0 THEN 'misfit: orderId' WHEN order_no % 79 = 0 THEN 'misfit: total' END AS reason FROM f_orders)""", ("f_orders",))
 def framed_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Framed orders of two schemas, read as the newest: a renamed field, a promoted type, two defaults, five kinds of rejects."""
     n = F.col("order_no")
