@@ -38,47 +38,92 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     return table.select("source", "source_size", F.least(F.col("_weight") * level, F.col("_cap")).alias("target"))
 
 
-def _pareto(df: DataFrame, inclusion: Column, seed: int) -> Column:
-    """Random odds over inclusion odds, mapped to (0, 1) without changing the order."""
-    u = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    odds = (u / (1 - u)) / (inclusion / (1 - inclusion))
-    return odds / (1 + odds)
+KEY = ["k1", "k2", "rank"]
 
 
-def _with_rank(df: DataFrame, targets: DataFrame, preference: str | None, seed: int) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    """``doc_id, source, size, k1, k2``: the hashes are equal for rows that agree in id, source and text."""
+    row = [F.col(id_col), F.col(source_col), F.col(text_col)]
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+                       F.xxhash64(*row).alias("k1"), F.xxhash64(F.lit(1), *row[::-1]).alias("k2"), *more)
+
+
+def _ranked(rows: DataFrame, repeated: bool) -> DataFrame:
+    """``rows`` with ``rank``, a number from 0 that tells equal rows apart. Numbered by a sort over the cluster, however many
+    there are of one; the key takes part in the range, so a third of all rows being equal is no long task."""
+    if not repeated:
+        return rows.withColumn("rank", F.lit(0).cast("long"))
+    return dense_positions(rows.withColumn("_no", F.monotonically_increasing_id()), ["k1", "k2"], ["_no"], "rank").drop("_no")
+
+
+def inclusion(sizes: DataFrame, targets: DataFrame, preference: Column) -> DataFrame:
+    """``source, _c``: the factor by which ``preference`` becomes the probability of the extra copy.
+
+    Such that the expected words of the extra copies are what is left of the target; probabilities end below 1, and what
+    they lose is shared among the others. ``sizes`` has a row per source and size, with the number of documents; each
+    round aggregates it to one row per source.
+    """
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    joined = df.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    part = F.col("_copies") - F.col("_whole")
-    liked = part * (F.coalesce(F.col(preference).cast("double"), F.lit(1.0)) if preference else F.lit(1.0))
-    inclusion = F.greatest(F.least(liked, F.lit(1 - 1e-9)), F.lit(1e-9))
-    return (joined.withColumn("_copies", copies).withColumn("_whole", F.floor("_copies"))
-            .withColumn("_need", part * F.col("source_size")).withColumn("_y", _pareto(df, inclusion, seed)))
+    need = (copies - F.floor(copies)) * F.col("source_size")
+    at = written(sizes.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
+        "source", preference.alias("_w"), (F.col("size") * F.col("docs")).alias("_words"), need.alias("_need")), "preferences")
+    words, factors, full = F.col("_words"), None, -1
+    while True:
+        known = at.withColumn("_c", F.lit(0.0)) if factors is None else at.join(
+            factors.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+        sure = F.col("_c") * F.col("_w") >= 1
+        sums = known.groupBy("source").agg(F.first("_need").alias("_need"), F.sum(F.when(sure, words).otherwise(0)).alias("_sure"),
+                                           F.sum(F.when(~sure, words * F.col("_w")).otherwise(0)).alias("_open"), F.count_if(sure).alias("_full"),
+                                           F.max("_c").alias("_old"))
+        left = F.greatest(F.col("_need") - F.col("_sure"), F.lit(0.0))
+        factor = F.when(F.col("_open") > 0, F.greatest(F.col("_old"), left / F.col("_open"))).otherwise(F.col("_old"))
+        factors = written(sums.select("source", factor.alias("_c"), "_full"), "factors")
+        now = factors.agg(F.sum("_full")).first()[0] or 0
+        factors = factors.select("source", "_c")
+        if now == full:  # each round makes one more size of some source certain, or is the last
+            return factors
+        full = now
+
+
+def _shares(targets: DataFrame, factors: DataFrame) -> DataFrame:
+    """One row per source, written: a join with it needs no shuffle of the documents, as its size is known."""
+    t = targets.select(F.col("source").alias("_s"), "source_size", "target")
+    return written(t.join(factors.withColumnRenamed("source", "_f"), F.col("_s").eqNullSafe(F.col("_f"))).drop("_f"), "shares")
 
 
-def cuts(sized: DataFrame, targets: DataFrame, preference: str | None = None, seed: int = 17) -> DataFrame:
-    """Per source, the last document in Pareto order that the sample takes: ``source, _cut_y, _cut_id``.
+def _drawn(rows: DataFrame, shares: DataFrame, preference: Column, seed: int) -> DataFrame:
+    """Adds whole copies, the words still needed, and ``_y``: random odds over inclusion odds, mapped to (0, 1)."""
+    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    p = F.greatest(F.least(F.col("_c") * preference, F.lit(1 - 1e-9)), F.lit(1e-9))
+    u = (F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    odds = (u / (1 - u)) / (p / (1 - p))
+    joined = rows.join(shares, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    return joined.withColumn("_whole", F.floor(copies)).withColumn("_need", (copies - F.floor(copies)) * F.col("source_size")).withColumn(
+        "_y", odds / (1 + odds)).drop("_c")
+
+
+def cuts(drawn: DataFrame) -> DataFrame:
+    """Per source, the last document in Pareto order that the sample takes: ``source, _low_y, _cut``.
 
     The order is not sorted: sizes are summed per source in ``BUCKETS`` intervals of the order, then in as many parts of
     the interval in which the wanted words run out; only the few rows of that part are put in order. So a source that
     holds a third of all rows costs a map-side aggregate, not one long task.
     """
-    cols = ["source", "size", "doc_id"] + ([preference] if preference else [])
-    rows = _with_rank(sized.select(*cols), targets, preference, seed).withColumn("_b1", F.floor(F.col("_y") * BUCKETS))
+    rows = drawn.select("source", "size", *KEY, "_need", "_y").withColumn("_b1", F.floor(F.col("_y") * BUCKETS))
     by = ["source", "_need"]
     first = _boundary(rows.groupBy(*by, "_b1").agg(F.sum("size").alias("_n")), "_b1", F.lit(0))
     inside = _meet(rows, first, "_b1").withColumn("_b2", F.floor((F.col("_y") * BUCKETS - F.col("_b1")) * BUCKETS))
     second = _boundary(inside.groupBy(*by, "_b2", "_before").agg(F.sum("size").alias("_n")), "_b2", F.col("_before"))
     last = _meet(inside.drop("_before"), second, "_b2")
-    up_to = Window.partitionBy("source").orderBy("_y", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("source").orderBy("_y", *KEY).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_before") + F.coalesce(F.sum("size").over(up_to), F.lit(0))
-    taken = last.select("source", "_y", "doc_id", (before + F.col("size") / 2 <= F.col("_need")).alias("_in")).where("_in")
-    edge = taken.groupBy("source").agg(F.max(F.struct("_y", F.coalesce("doc_id", F.lit(-(1 << 63))))).alias("_c"))
+    taken = last.select("source", "_y", *KEY, (before + F.col("size") / 2 <= F.col("_need")).alias("_in")).where("_in")
+    edge = taken.groupBy(F.col("source").alias("_s")).agg(F.max(F.struct("_y", *KEY)).alias("_cut"))
     start = second.select("source", (F.col("_lo")).alias("_part")).join(
         first.select(F.col("source").alias("_s"), F.col("_lo").alias("_whole_part")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     low = (F.col("_whole_part") + F.col("_part") / BUCKETS) / BUCKETS
-    return written(start.join(edge.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        "source", low.alias("_low_y"), F.col("_c._y").alias("_cut_y"), F.col("_c").getField("col2").alias("_cut_id")), "cuts")
+    return written(start.join(edge, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", low.alias("_low_y"), "_cut"), "cuts")
 
 
 def _boundary(sums: DataFrame, bucket: str, base: Column) -> DataFrame:
@@ -94,39 +139,54 @@ def _meet(rows: DataFrame, boundary: DataFrame, bucket: str) -> DataFrame:
     return rows.join(b, F.col("source").eqNullSafe(F.col("_s")) & (F.col(bucket) == F.col("_lo"))).drop("_s", "_lo")
 
 
-def apply_mix(sized: DataFrame, targets: DataFrame, at: DataFrame, preference: str | None = None, seed: int = 17) -> DataFrame:
-    """``sized`` with ``source_size, target, copies``: certain whole copies plus one if the sample takes the document."""
-    rows = _with_rank(sized, targets, preference, seed)
-    c = at.withColumnRenamed("source", "_s")
-    joined = rows.join(c, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    in_sample = (F.col("_y") < F.col("_low_y")) | (F.col("_y") < F.col("_cut_y")) | ((F.col("_y") == F.col("_cut_y")) & (key <= F.col("_cut_id")))
-    copies = F.col("_whole") + F.coalesce(in_sample, F.lit(False)).cast("long")
-    return joined.select(*sized.columns, "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), F.coalesce(copies, F.lit(0)).cast("long").alias("copies"))
+def _copies(drawn: DataFrame, at: DataFrame) -> DataFrame:
+    """``drawn`` with ``copies``: certain whole copies plus one if the sample takes the document."""
+    joined = drawn.join(at.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    in_sample = (F.col("_y") < F.col("_low_y")) | (F.struct("_y", *KEY) <= F.col("_cut"))
+    return joined.withColumn("copies", F.coalesce(F.col("_whole") + F.coalesce(in_sample, F.lit(False)).cast("long"), F.lit(0)).cast("long"))
+
+
+def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...], most: float, preference: Column, seed: int):
+    """Narrow rows with everything but copies, whether rows repeat, and per source its targets, factors, shares and cuts."""
+    narrow = written(_keyed(docs, id_col, text_col, source_col), "sized")
+    repeated = not narrow.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    ranked = _ranked(narrow, repeated)
+    targets = written(source_targets(narrow, weights, most), "targets")
+    sizes = narrow.groupBy("source", "size").agg(F.count("*").alias("docs"))
+    factors = inclusion(sizes, targets, preference)
+    shares = _shares(targets, factors)
+    drawn = _drawn(ranked, shares, preference, seed)
+    return drawn, repeated, factors, shares, cuts(drawn)
+
+
+def by_length() -> Column:
+    """The preference of the extra copy: the square root of the size, so long documents are drawn more often."""
+    return F.sqrt(F.col("size").cast("double"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, seed: int = 17) -> DataFrame:
+        weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, preference: Column | None = None, seed: int = 17) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies`` for every row of ``docs``.
 
-    A document is taken floor(target / source size) times for certain; the fraction that is left is its inclusion
-    probability in a Pareto sample per source: random odds over inclusion odds, smallest first, as many as bring the
-    source's words nearest to its target. Random numbers are hashes of the id, so reruns agree.
+    A document is taken floor(target / source size) times for certain. For the rest of the target it is drawn with a
+    probability in proportion to ``preference`` (a column over ``source`` and ``size``; by default ``by_length``), by a
+    Pareto sample per source: random odds over inclusion odds, smallest first, as many as bring the source's words nearest
+    to its target. Random numbers are hashes of the row, so reruns agree.
 
-    Null or empty texts have size 0 and add nothing. Null sources are one source, the last. Rows that repeat an id share
-    its random number: all or none of them get the extra copy, up to ties in size. Empty tables give no rows. Other columns
-    of ``docs`` are not read.
+    Null or empty texts have size 0 and add nothing. Null sources are one source, the last. Null and repeated ids are
+    documents of their own: a random number belongs to id, source and text, and to a number among rows that agree in all
+    three. Empty tables give no rows. Other columns of ``docs`` are not read.
     """
-    sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "sized")
-    targets = written(source_targets(sized, weights, most), "targets")
-    return apply_mix(sized, targets, cuts(sized, targets, seed=seed), seed=seed)
-
-
-def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, seed: int = 17) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, source, ...), each as often as the mix takes it."""
-    sized = docs.select("doc_id", "source", word_count("text").alias("size"), F.struct("*").alias("row"))
-    narrow = written(sized.select("doc_id", "source", "size"), "sized")
-    targets = written(source_targets(narrow, weights, most), "targets")
-    counted = apply_mix(sized, targets, cuts(narrow, targets, seed=seed), seed=seed)
-    repeated = counted.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    liked = by_length() if preference is None else preference
+    drawn, _, _, _, at = _plan(docs, id_col, text_col, source_col, weights, most, liked, seed)
+    return _copies(drawn, at).select("doc_id", "source", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"), "copies")
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, preference: Column | None = None, seed: int = 17) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source, ...), each as often as the mix takes it. Rows move only if some repeat."""
+    liked = by_length() if preference is None else preference
+    _, repeated, _, shares, at = _plan(docs, "doc_id", "text", "source", weights, most, liked, seed)
+    wide = _ranked(_keyed(docs, "doc_id", "text", "source", F.struct("*").alias("row")), repeated)
+    counted = _copies(_drawn(wide, shares, liked, seed), at)
+    taken = counted.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
