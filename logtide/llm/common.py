@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,14 @@ def documents(spark, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on between tasks, and what their allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether crc32 of the id as text leaves the held-out remainder; a null id counts as held out, so it never trains."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % CRC_FOLDS == HELD_OUT_FOLD, F.lit(True))

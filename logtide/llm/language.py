@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from logtide.llm.common import give_back
+
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 UNDETERMINED = "und"
@@ -41,13 +43,17 @@ def word_grams(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarra
 def _count(buckets: int, block: int = 4096):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams, _ = word_grams(text, buckets)
-                if len(grams):
-                    if lang not in sums:
-                        sums[lang] = np.zeros(buckets, np.int64)
-                    np.add.at(sums[lang], grams, 1) if len(grams) < 64 else sums[lang].__iadd__(np.bincount(grams, minlength=buckets))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(lo, SLICE)
+                for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                    grams, _ = word_grams(text.as_py(), buckets)
+                    if len(grams):
+                        if lang not in sums:
+                            sums[lang] = np.zeros(buckets, np.int64)
+                        np.add.at(sums[lang], grams, 1) if len(grams) < 64 else sums[lang].__iadd__(np.bincount(grams, minlength=buckets))
+            whole = batch = None
+            give_back()
         for lang, counts in sums.items():
             parts = [(lang, b, counts[b:b + block]) for b in range(0, buckets, block)]
             yield pa.RecordBatch.from_arrays([
@@ -135,7 +141,8 @@ def _predict(model: dict, at: int, keep: list[int]):
                     [*(batch.column(i) for i in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                      pa.array([list(m.items()) for m in mixes], pa.map_(pa.string(), pa.float64()))],
                     names=[*(batch.schema.names[i] for i in keep), "lang_pred", "score", "mixture"])
-            pa.default_memory_pool().release_unused()
+            whole = batch = None
+            give_back()
     return run
 
 

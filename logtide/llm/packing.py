@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from logtide.llm.common import give_back
+
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 1024
@@ -155,7 +157,9 @@ def _pack(path: str, size: int, most: int):
                     docs.take(at), pa.array([x[1] for x in pieces], pa.int32()), *[pa.array([x[i] for x in pieces], pa.int64()) for i in (2, 3, 4)],
                     pa.array([base + b for b, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-            pa.default_memory_pool().release_unused()
+            give_back()
+        tokens = bins = None
+        give_back()
     return run
 
 

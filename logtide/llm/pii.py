@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from logtide.llm.common import give_back
 from logtide.session import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -115,6 +116,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found.append([dict(zip(("pattern", "instance", "kind", "start", "end"), c, strict=True)) for c in candidates(text, spans)])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(item))],
                                          names=["doc_id", "digest", "base", "found"])
+        batch = base = found = None
+        give_back()
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,6 +194,8 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 text = "".join(parts) + text[done:]
             out.append(text)
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], names=["text", "row"])
+        batch = out = None
+        give_back()
 
 
 def redact(docs: DataFrame) -> DataFrame:

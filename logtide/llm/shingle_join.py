@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logtide.llm.common import WordHasher, bit_filter, connected_components, mix64, shingle_set
+from logtide.llm.common import WordHasher, bit_filter, connected_components, give_back, mix64, shingle_set
 from logtide.operators.ordered import dense_positions
 from logtide.session import written
 
@@ -179,7 +179,7 @@ def _shingles(size: int, wanted):
                     yield _rows(held)
                     held, total = [], 0
             yield _rows(held)
-            pa.default_memory_pool().release_unused()
+            give_back()
     return run
 
 

@@ -138,3 +138,23 @@ def test_mixture_is_the_plain_em(spark):
     first, score, spread = language.infer(loglike)
     assert first == 0 and sorted(np.nonzero(spread)[0]) == sorted(chosen) == [0, 1, 2]
     assert [spread[k] for k in chosen] == pytest.approx(part, rel=1e-6)
+
+
+def test_language_counts_hold_one_slice_of_texts():
+    """Counting turns a slice of a batch into Python strings at a time: the peak above the batch is far below its texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+    texts = [f"palabra{i} " * 400 for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["es", "en"] * 2000)], names=["text", "lang"])
+    size, whole = batch.column(0).nbytes, language._count(64, 64)
+    language.word_grams("a")  # builds the table of letters, which stays
+    del texts
+    tracemalloc.start()
+    try:
+        got = list(whole(iter([batch.slice(0, 0), batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < size / 4
+    assert sum(sum(r["counts"]) for b in got for r in b.to_pylist()) == 4000 * 400 * 7
