@@ -20,6 +20,11 @@ HOPS = {
     "InventoryReserved": "inventory.reserve", "CompensationRequested": "inventory.reserve", "PaymentRefunded": "payment.compensate",
     "ShipmentCreated": "shipping.create",
 }
+#: The work that the consumer of each topic does on its records; a topic has one consumer.
+CONSUMED = {
+    "orders": "payment.process", "payment-compensation": "payment.compensate", "payments": "inventory.reserve",
+    "inventory": "shipping.create",
+}
 OUTBOX = ("id", "aggregatetype", "aggregateid", "type", "payload", "created_at")
 
 
@@ -39,14 +44,14 @@ def relayed(outbox: DataFrame) -> DataFrame:
                          F.create_map(F.lit("id"), F.col("id")).alias("headers"), F.col("created_at").alias("timestamp"))
 
 
-def _consumed(records: DataFrame, topic: str, hop: str, **fields: Column) -> DataFrame:
-    """``order_id, cause, at, context`` of the work ``hop`` on a topic's records, and ``fields`` of their values.
+def _consumed(records: DataFrame, topic: str, **fields: Column) -> DataFrame:
+    """``order_id, cause, at, context`` of the work on a topic's records, and ``fields`` of their values.
 
     Each is computed once per record, so hops can follow each other in one plan without copying each other's expressions.
     """
     of_topic = records.where(F.col("topic") == topic)
     read = computed_once(of_topic, _carried=carried(F.col("headers"), F.col("value")), **fields)
-    made = computed_once(read, context=child_of(F.col("_carried"), F.lit(hop)))
+    made = computed_once(read, context=child_of(F.col("_carried"), F.lit(CONSUMED[topic])))
     return made.select(F.col("key").alias("order_id"), F.element_at("headers", "id").alias("cause"), F.col("timestamp").alias("at"), "context", *fields)
 
 
@@ -62,12 +67,12 @@ def order_service(sends: DataFrame, delivery: tuple[str, ...] = ("topic", "parti
 def payment_service(records: DataFrame) -> DataFrame:
     """``PaymentSucceeded`` or ``PaymentFailed`` for orders, ``PaymentRefunded`` for requests of compensation."""
     total = F.get_json_object("value", "$.order.total").cast("double")
-    orders = with_final_outcome(_consumed(records, "orders", HOPS["PaymentFailed"], amount=total))
+    orders = with_final_outcome(_consumed(records, "orders", amount=total))
     failed = R.is_declined(F.col("order_id")) | F.col("exhausted")
     event = F.when(failed, "PaymentFailed").otherwise("PaymentSucceeded")
     status = F.when(failed, "failed").otherwise("succeeded").alias("status")
     paid = _rows(orders, "payments", event, _payload(event, F.col("context"), F.col("amount"), status), ("cause",), "at")
-    asked = _consumed(records, "payment-compensation", HOPS["PaymentRefunded"], reason=F.get_json_object("value", "$.reason"))
+    asked = _consumed(records, "payment-compensation", reason=F.get_json_object("value", "$.reason"))
     refund = F.lit("PaymentRefunded")
     body = _payload(refund, F.col("context"), F.lit("refunded").alias("status"), F.col("reason"))
     return paid.unionByName(_rows(asked, "payments", refund, body, ("cause",), "at"))
@@ -79,7 +84,7 @@ def inventory_service(records: DataFrame) -> DataFrame:
     Refunds share the topic of payments: going on from them would close a loop, so all but ``succeeded`` is skipped.
     """
     status = F.get_json_object("value", "$.status")
-    paid = _consumed(records, "payments", HOPS["InventoryReserved"], status=status).where("status = 'succeeded'")
+    paid = _consumed(records, "payments", status=status).where("status = 'succeeded'")
     out, context = R.is_out_of_stock(F.col("order_id")), F.col("context")
     reserved, asked = F.lit("InventoryReserved"), F.lit("CompensationRequested")
     return _rows(paid.where(~out), "inventory", reserved, _payload(reserved, context, F.lit(True).alias("reserved")), ("cause",), "at").unionByName(
@@ -88,7 +93,7 @@ def inventory_service(records: DataFrame) -> DataFrame:
 
 def shipping_service(records: DataFrame) -> DataFrame:
     """``ShipmentCreated`` for every reservation."""
-    reserved, event = _consumed(records, "inventory", HOPS["ShipmentCreated"]), F.lit("ShipmentCreated")
+    reserved, event = _consumed(records, "inventory"), F.lit("ShipmentCreated")
     tracking = R.tracking_id(F.col("order_id"), F.col("at")).alias("trackingId")
     return _rows(reserved, "shipping", event, _payload(event, F.col("context"), tracking), ("cause",), "at")
 
@@ -97,16 +102,19 @@ def published_spans(records: DataFrame) -> DataFrame:
     """``trace_id, span_id, parent_span_id, name, event_type, service`` rebuilt from published payloads alone.
 
     A payload tells its trace and its own span, not its parent. The parent is the span of the trace from which the hop's
-    rule gives this span: each span offers the ids of the spans that may follow it, one per hop.
+    rule gives this span: each span offers the id of the span that the consumer of its topic makes of it. On topics of other
+    consumers it offers one per hop.
     """
     event = F.get_json_object("value", "$.type")
     context = F.get_json_object("value", "$.traceContext.traceparent")
     name = F.element_at(F.create_map(*[F.lit(x) for pair in HOPS.items() for x in pair]), event)
-    spans = records.select(event.alias("event_type"), name.alias("name"), F.split(context, "-").alias("_c")).select(
-        F.get("_c", F.lit(1)).alias("trace_id"), F.get("_c", F.lit(2)).alias("span_id"), "name", "event_type",
-        F.concat(F.substring_index("name", ".", 1), F.lit("-service")).alias("service"))
     hops = F.array(*[F.lit(h) for h in dict.fromkeys(HOPS.values()) if h != HOPS["OrderCreated"]])
+    next_hop = F.element_at(F.create_map(*[F.lit(x) for pair in CONSUMED.items() for x in pair]), F.col("topic"))
+    may_follow = F.when(next_hop.isNotNull(), F.array(next_hop)).otherwise(hops)
+    spans = records.select(event.alias("event_type"), name.alias("name"), F.split(context, "-").alias("_c"), may_follow.alias("_hops")).select(
+        F.get("_c", F.lit(1)).alias("trace_id"), F.get("_c", F.lit(2)).alias("span_id"), "name", "event_type", "_hops",
+        F.concat(F.substring_index("name", ".", 1), F.lit("-service")).alias("service"))
     parent = F.concat_ws("-", F.lit("00"), "trace_id", "span_id", F.lit("01"))
-    offers = spans.select("trace_id", F.col("span_id").alias("parent_span_id"), parent.alias("_p"), F.explode(hops).alias("_hop")).select(
+    offers = spans.select("trace_id", F.col("span_id").alias("parent_span_id"), parent.alias("_p"), F.explode("_hops").alias("_hop")).select(
         "trace_id", "parent_span_id", F.get(F.split(child_of(F.col("_p"), F.col("_hop")), "-"), F.lit(2)).alias("span_id"))
     return spans.join(offers, ["trace_id", "span_id"], "left").select("trace_id", "span_id", "parent_span_id", "name", "event_type", "service")
