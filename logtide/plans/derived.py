@@ -14,7 +14,7 @@ from logtide.functions import rules as R
 from logtide.functions.jsontext import json_literal
 from logtide.operators import services
 from logtide.operators.stages import refund_events, to_compensation, to_payments, to_refunds
-from logtide.session import scratch_path, written
+from logtide.session import scratch_path
 from logtide.sinks.log import append_log, place, to_log
 from logtide.sources.log import read_log
 from logtide.sources.tables import table
@@ -209,18 +209,23 @@ def resent(log: DataFrame) -> DataFrame:
 def published_events(spark: SparkSession, sf: str) -> DataFrame:
     """The outbox of all four services for the orders log in which every 5th order was sent twice.
 
-    Each service consumes what the relay published of the ones before it. An outbox is a stored table, so the rows of a
-    service are written once and read by those behind it.
+    Each service consumes what the relay published of the ones before it. An outbox is a stored table: the rows of a
+    service are written once, into a folder of it, and read there by those behind it and by the queries.
     """
-    slot = (spark.sparkContext.applicationId, sf, "outbox")
+    slot, rounds = (spark.sparkContext.applicationId, sf, "outbox"), ("created", "paid", "held", "last")
     if slot not in _logs:
-        created = written(services.order_service(resent(log_orders(spark, sf))), "outbox-orders")
-        paid = written(services.payment_service(services.relayed(created)), "outbox-payments")
-        held = written(services.inventory_service(services.relayed(paid)), "outbox-inventory")
-        last = services.payment_service(services.relayed(held)).unionByName(services.shipping_service(services.relayed(held)))
-        _logs[slot] = scratch_path(spark, "outbox")
-        created.unionByName(paid).unionByName(held).unionByName(last).write.partitionBy("aggregatetype").parquet(_logs[slot])
-    return spark.read.parquet(_logs[slot]).select(*services.OUTBOX)
+        path = scratch_path(spark, "outbox")
+
+        def stored(rows: DataFrame, name: str) -> DataFrame:
+            rows.write.option("compression", "zstd").parquet(f"{path}/{name}")
+            return services.relayed(spark.read.schema(rows.schema).parquet(f"{path}/{name}"))
+
+        created = stored(services.order_service(resent(log_orders(spark, sf))), "created")
+        paid = stored(services.payment_service(created), "paid")
+        held = stored(services.inventory_service(paid), "held")
+        stored(services.payment_service(held).unionByName(services.shipping_service(held)), "last")
+        _logs[slot] = path
+    return spark.read.parquet(*[f"{_logs[slot]}/{r}" for r in rounds]).select(*services.OUTBOX)
 
 
 def group_offsets(log: DataFrame) -> DataFrame:
