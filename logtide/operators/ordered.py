@@ -63,6 +63,13 @@ def order_bounds(df: DataFrame, order: list[str], chunks: int, sample_rows: int
     return sorted({ranked[len(ranked) * i // chunks] for i in range(1, chunks)} if ranked else [], key=lambda r: [(x is not None, x) for x in r])
 
 
+def chunk_of(place: Column, cuts: Column, n: int) -> Column:
+    """How many of the ``n`` ascending ``cuts`` are at or before ``place``, found by halving: log2(n) comparisons a row, not n."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    # A step past the last cut compares with null, so it is not taken.
+    return F.aggregate(steps, F.lit(0), lambda upto, step: F.when(F.get(cuts, upto + step - 1) <= place, upto + step).otherwise(upto))
+
+
 def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name: str = "position", chunks: int | None = None) -> DataFrame:
     """0-based position of each row in its group, in ``order``; for few groups of any size.
 
@@ -76,7 +83,7 @@ def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name:
     types = [df.schema[c].dataType for c in order]
     place = F.struct(*order)
     cuts = F.array(*[F.struct(*[F.lit(x).cast(t).alias(c) for x, t, c in zip(b, types, order, strict=True)]) for b in bounds])
-    chunk = (F.size(F.filter(cuts, lambda b: b <= place)) if bounds else F.lit(0)).alias("_chunk")
+    chunk = (chunk_of(place, cuts, len(bounds)) if bounds else F.lit(0)).alias("_chunk")
     counts = df.select(*groups, chunk).groupBy(*groups, "_chunk").agg(F.count("*").alias("n")).collect()
     starts, upto = [], {}
     for r in sorted(counts, key=lambda r: r["_chunk"]):

@@ -29,7 +29,7 @@ def place(records: DataFrame, partitions: int, order: list[str], partitioner=par
 
 def append_log(log: DataFrame, path: str) -> None:
     """Append envelope rows to a log table, one folder per topic."""
-    log.select(*ENVELOPE.fieldNames()).write.mode("append").partitionBy("topic").parquet(path)
+    log.select(*ENVELOPE.fieldNames()).write.mode("append").option("compression", "zstd").partitionBy("topic").parquet(path)
 
 
 def kafka_rows(log: DataFrame) -> DataFrame:
