@@ -66,8 +66,10 @@ def order_bounds(df: DataFrame, order: list[str], chunks: int, sample_rows: int
 def chunk_of(place: Column, cuts: Column, n: int) -> Column:
     """How many of the ``n`` ascending ``cuts`` are at or before ``place``, found by halving: log2(n) comparisons a row, not n."""
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
-    # A step past the last cut compares with null, so it is not taken.
-    return F.aggregate(steps, F.lit(0), lambda upto, step: F.when(F.get(cuts, upto + step - 1) <= place, upto + step).otherwise(upto))
+    # The place is bound to a name, so a row computes it once and not at every step. A step past the last cut compares with
+    # null, so it is not taken.
+    return F.get(F.transform(F.array(place), lambda at: F.aggregate(
+        steps, F.lit(0), lambda upto, step: F.when(F.get(cuts, upto + step - 1) <= at, upto + step).otherwise(upto))), F.lit(0))
 
 
 def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name: str = "position", chunks: int | None = None) -> DataFrame:
@@ -93,7 +95,9 @@ def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name:
     fields = ", ".join(f"`_g{i}` {df.schema[g].dataType.simpleString()}" for i, g in enumerate(groups))
     known = F.broadcast(spark.createDataFrame(starts, f"{fields}{', ' if fields else ''}_c int, _start long"))
     cut = df.select("*", chunk)
-    same = F.col("_chunk") == F.col("_c")
+    # Null-safe, though no chunk is null: from a plain equality Spark infers a filter "chunk is known", pushes it down to the
+    # scan and computes every chunk once more there.
+    same = F.col("_chunk").eqNullSafe(F.col("_c"))
     for i, g in enumerate(groups):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     inside = Window.partitionBy(*groups, "_chunk").orderBy(*order)

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from logtide.operators import services
-from logtide.operators.ordered import chunk_of
+from logtide.operators.ordered import chunk_of, chunked_positions
 from logtide.plans import QUERIES
 from logtide.plans import derived as D
 from logtide.session import scratch_dir
@@ -24,6 +24,17 @@ def test_chunks_are_found_by_halving(spark):
         assert [r.c for r in got] == [sum(key(cut) <= key((r.a, r.b)) for cut in cuts) for r in got]
 
 
+def test_chunks_are_computed_once_in_a_plan(spark):
+    """No filter repeats them at the scan, and the steps of a search share the place that they compare."""
+    df = spark.range(200).select(F.concat(F.lit("k-"), F.col("id").cast("string")).alias("key"), (F.col("id") % 7).alias("t"))
+    no = F.substring_index("key", "-", -1).cast("bigint")
+    numbered = chunked_positions(df.withColumn("no", no), [], ["t", "no"], "at", chunks=8)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1 and "isnotnull(" not in plan.split("Window")[1]
+    assert "substring_index" not in plan.split("aggregate(")[1].split("AS _chunk")[0]
+    assert sorted(r["at"] for r in numbered.collect()) == list(range(200))
+
+
 def test_applied_offsets_are_counted_not_joined(spark, sf):
     """A ledger of few ranges expands to every offset of the log; a join would broadcast it by the size of its file."""
     plan = QUERIES["batched_idempotent"].plan(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
