@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from logtide.session import written
 
+#: Spans of a trace that are linked inside its row; longer traces are linked by joins.
+ROW_SPANS = 64
+
 
 def link_spans(spans: DataFrame) -> DataFrame:
     """Each span with its parent's service and the gap between parent end and child start.
@@ -22,9 +25,59 @@ def link_spans(spans: DataFrame) -> DataFrame:
         ((F.unix_micros("start") - F.unix_micros("_parent_end")) / 1000.0).alias("gap_ms"))
 
 
-def trace_tree(spans: DataFrame) -> DataFrame:
+def trace_tree(spans: DataFrame, row_spans: int = ROW_SPANS) -> DataFrame:
     """Linked spans with their depth under the topmost recorded ancestor, and its id.
 
+    The spans of a trace are gathered into one row, which moves them once, and are linked there. Traces of more than
+    ``row_spans`` spans, and those in which a span id comes twice, are linked by joins instead; both give the same rows.
+    Spans on a cycle of parent links keep a null depth. A span without a trace or without an id is in no tree.
+    """
+    known = spans.where(F.col("trace_id").isNotNull() & F.col("span_id").isNotNull())
+    long = written(known.groupBy("trace_id").agg(F.count("*").alias("_n")).where(F.col("_n") > row_spans).select("trace_id"), "trace-long")
+    short, by_joins = (known, None) if long.isEmpty() else (known.join(long, "trace_id", "left_anti"), known.join(long, "trace_id", "left_semi"))
+    # Dealt by trace before they are gathered: gathering reduces nothing, so a first round before the shuffle only sorts.
+    fields = F.struct(*[c for c in spans.columns if c != "trace_id"])
+    rows = short.repartition("trace_id").groupBy("trace_id").agg(F.collect_list(fields).alias("_s"))
+    gathered = written(rows.withColumn("_once", F.size(F.array_distinct("_s.span_id")) == F.size("_s")), "traces")
+    tree = _tree_in_rows(gathered.where("_once"), spans.columns)
+    repeated = gathered.where("NOT _once")
+    if not repeated.isEmpty():
+        again = repeated.select("trace_id", F.inline("_s")).select(*spans.columns)
+        by_joins = again if by_joins is None else by_joins.select(*spans.columns).unionByName(again)
+    return tree if by_joins is None else tree.unionByName(_tree_by_joins(by_joins))
+
+
+def _tree_in_rows(traces: DataFrame, columns: list[str]) -> DataFrame:
+    """The tree of traces that lie in one row each, ``_s`` an array of spans with ids of their own.
+
+    Ancestors are places in that array. Depth is found by pointer doubling, log2(spans) rounds over the array; a top span
+    is its own ancestor, so it stays where it is.
+    """
+    parents = traces.select("trace_id", "_s", F.transform("_s.parent_span_id", lambda p: F.array_position(F.col("_s.span_id"), p).cast("int") - 1).alias("_parent"))
+    # A parent that is not recorded is at place -1; one without an end counts as not recorded, as in ``link_spans``.
+    at = lambda array, place: F.when(place >= 0, F.get(array, place))
+    linked = parents.withColumn("_up", F.transform("_parent", lambda p, i: F.when(at(F.col("_s.end"), p).isNotNull(), p).otherwise(i)))
+    linked = linked.withColumn("_child", F.transform("_parent", lambda p: at(F.col("_s.end"), p).isNotNull()))
+    rounds = F.slice(F.array(*[F.lit(i) for i in range(32)]), F.lit(1), F.ceil(F.log2(F.size("_s"))).cast("int"))
+    start = F.struct(F.col("_up").alias("top"), F.transform("_child", lambda c: c.cast("bigint")).alias("steps"))
+    settled = linked.withColumn("_t", F.aggregate(rounds, start, lambda t, _: F.struct(
+        F.transform(t["top"], lambda u: F.get(t["top"], u)).alias("top"),
+        F.zip_with(t["top"], t["steps"], lambda u, n: n + F.get(t["steps"], u)).alias("steps"))))
+    each = settled.select("trace_id", "_s", "_parent", "_child", "_t", F.posexplode("_s").alias("_i", "_x"))
+    mine = lambda array: F.get(F.col(array), F.col("_i"))
+    parent, top = at(F.col("_s"), mine("_parent")), mine("_t.top")
+    x, reached = F.col("_x"), ~F.get(F.col("_child"), top)
+    own = {c: F.col("trace_id") if c == "trace_id" else x[c] for c in ("trace_id", "span_id", *columns)}
+    return each.select(
+        *[v.alias(c) for c, v in own.items()], parent["service"].alias("parent_service"),
+        F.when(x["parent_span_id"].isNull(), "root").when(mine("_child"), "child").otherwise("broken").alias("link"),
+        ((F.unix_micros(x["start"]) - F.unix_micros(parent["end"])) / 1000.0).alias("gap_ms"),
+        F.when(reached, mine("_t.steps")).alias("depth"), F.when(reached, F.get(F.col("_s.span_id"), top)).alias("root_span_id"))
+
+
+def _tree_by_joins(spans: DataFrame) -> DataFrame:
+    """The tree of traces of any length.
+
     Depth is found by pointer doubling: round k joins each span that is not there yet to the ancestor 2^k levels up, so a
     trace of depth d takes log2(d) rounds and there is no fixed depth limit. Links are written once; a round writes only
     the spans that were still on their way. Spans left over after log2(spans) rounds sit on a cycle of parent links; they
