@@ -20,16 +20,28 @@ def inject(headers: Column, trace_id: Column, span_id: Column) -> Column:
 
 def carried(headers: Column, payload: Column) -> Column:
     """The carried context: header first, then the payload's ``traceContext`` field."""
-    return F.coalesce(F.try_element_at(headers, F.lit("traceparent")),
-                      F.get_json_object(payload, "$.traceContext.traceparent"))
+    return carried_first(headers, F.get_json_object(payload, "$.traceContext.traceparent"))
+
+
+def carried_first(headers: Column, in_payload: Column) -> Column:
+    """The same for a payload that is parsed already: the header's context, else ``in_payload``."""
+    return F.coalesce(F.try_element_at(headers, F.lit("traceparent")), in_payload)
+
+
+def _trace_of(context: Column) -> Column:
+    """The trace id of a well-formed context, whose fields have fixed places."""
+    return F.substring(context, 4, 32)
+
+
+def _span_of(context: Column) -> Column:
+    return F.substring(context, 37, 16)
 
 
 def parent_of(context: Column) -> Column:
     """struct(trace_id, parent_span_id) of a context; null when missing or malformed."""
     return F.when(
         context.rlike(TRACEPARENT_PATTERN),
-        F.struct(F.regexp_extract(context, TRACEPARENT_PATTERN, 1).alias("trace_id"),
-                 F.regexp_extract(context, TRACEPARENT_PATTERN, 2).alias("parent_span_id")),
+        F.struct(_trace_of(context).alias("trace_id"), _span_of(context).alias("parent_span_id")),
     )
 
 
@@ -44,6 +56,5 @@ def child_of(context: Column, hop: Column) -> Column:
 
     Null where no usable context was carried; the caller opens a trace of its own then.
     """
-    parent = parent_of(context)
-    span = F.substring(F.md5(F.concat_ws("/", parent.getField("parent_span_id"), hop)), 1, 16)
-    return F.when(parent.isNotNull(), traceparent(parent.getField("trace_id"), span))
+    span = F.substring(F.md5(F.concat_ws("/", _span_of(context), hop)), 1, 16)
+    return F.when(context.rlike(TRACEPARENT_PATTERN), traceparent(_trace_of(context), span))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logtide.functions import rules as R
-from logtide.functions.tracecontext import carried, child_of, root_of
+from logtide.functions.tracecontext import carried_first, child_of, root_of
 from logtide.operators.decode import computed_once
 from logtide.operators.delivery import outbox_rows
 from logtide.operators.retry import with_final_outcome
@@ -44,13 +44,20 @@ def relayed(outbox: DataFrame) -> DataFrame:
                          F.create_map(F.lit("id"), F.col("id")).alias("headers"), F.col("created_at").alias("timestamp"))
 
 
-def _consumed(records: DataFrame, topic: str, **fields: Column) -> DataFrame:
-    """``order_id, cause, at, context`` of the work on a topic's records, and ``fields`` of their values.
+def with_payload(records: DataFrame, fields: str = "") -> DataFrame:
+    """Add ``payload``, the fields of the values and their ``traceContext``, all of one parse: parsing is most of a hop's work."""
+    schema = "traceContext struct<traceparent: string>" + (f", {fields}" if fields else "")
+    return computed_once(records, payload=F.from_json("value", schema))
+
+
+def _consumed(records: DataFrame, topic: str, schema: str = "", **fields: Column) -> DataFrame:
+    """``order_id, cause, at, context`` of the work on a topic's records, and ``fields`` of their payloads, read by ``schema``.
 
     Each is computed once per record, so hops can follow each other in one plan without copying each other's expressions.
     """
-    of_topic = records.where(F.col("topic") == topic)
-    read = computed_once(of_topic, _carried=carried(F.col("headers"), F.col("value")), **fields)
+    parsed = with_payload(records.where(F.col("topic") == topic), schema)
+    context = carried_first(F.col("headers"), F.col("payload.traceContext.traceparent"))
+    read = parsed.select("key", "headers", "timestamp", context.alias("_carried"), *[c.alias(name) for name, c in fields.items()])
     made = computed_once(read, context=child_of(F.col("_carried"), F.lit(CONSUMED[topic])))
     return made.select(F.col("key").alias("order_id"), F.element_at("headers", "id").alias("cause"), F.col("timestamp").alias("at"), "context", *fields)
 
@@ -66,13 +73,13 @@ def order_service(sends: DataFrame, delivery: tuple[str, ...] = ("topic", "parti
 
 def payment_service(records: DataFrame) -> DataFrame:
     """``PaymentSucceeded`` or ``PaymentFailed`` for orders, ``PaymentRefunded`` for requests of compensation."""
-    total = F.get_json_object("value", "$.order.total").cast("double")
-    orders = with_final_outcome(_consumed(records, "orders", amount=total))
+    total = F.col("payload.order.total").cast("double")
+    orders = with_final_outcome(_consumed(records, "orders", "order struct<total: string>", amount=total))
     failed = R.is_declined(F.col("order_id")) | F.col("exhausted")
     event = F.when(failed, "PaymentFailed").otherwise("PaymentSucceeded")
     status = F.when(failed, "failed").otherwise("succeeded").alias("status")
     paid = _rows(orders, "payments", event, _payload(event, F.col("context"), F.col("amount"), status), ("cause",), "at")
-    asked = _consumed(records, "payment-compensation", reason=F.get_json_object("value", "$.reason"))
+    asked = _consumed(records, "payment-compensation", "reason string", reason=F.col("payload.reason"))
     refund = F.lit("PaymentRefunded")
     body = _payload(refund, F.col("context"), F.lit("refunded").alias("status"), F.col("reason"))
     return paid.unionByName(_rows(asked, "payments", refund, body, ("cause",), "at"))
@@ -83,8 +90,7 @@ def inventory_service(records: DataFrame) -> DataFrame:
 
     Refunds share the topic of payments: going on from them would close a loop, so all but ``succeeded`` is skipped.
     """
-    status = F.get_json_object("value", "$.status")
-    paid = _consumed(records, "payments", status=status).where("status = 'succeeded'")
+    paid = _consumed(records, "payments", "status string", status=F.col("payload.status")).where("status = 'succeeded'")
     out, context = R.is_out_of_stock(F.col("order_id")), F.col("context")
     reserved, asked = F.lit("InventoryReserved"), F.lit("CompensationRequested")
     return _rows(paid.where(~out), "inventory", reserved, _payload(reserved, context, F.lit(True).alias("reserved")), ("cause",), "at").unionByName(
@@ -105,13 +111,12 @@ def published_spans(records: DataFrame) -> DataFrame:
     rule gives this span: each span offers the id of the span that the consumer of its topic makes of it. On topics of other
     consumers it offers one per hop.
     """
-    event = F.get_json_object("value", "$.type")
-    context = F.get_json_object("value", "$.traceContext.traceparent")
+    event, context = F.col("payload.type"), F.col("payload.traceContext.traceparent")
     name = F.element_at(F.create_map(*[F.lit(x) for pair in HOPS.items() for x in pair]), event)
     hops = F.array(*[F.lit(h) for h in dict.fromkeys(HOPS.values()) if h != HOPS["OrderCreated"]])
     next_hop = F.element_at(F.create_map(*[F.lit(x) for pair in CONSUMED.items() for x in pair]), F.col("topic"))
     may_follow = F.when(next_hop.isNotNull(), F.array(next_hop)).otherwise(hops)
-    spans = records.select(event.alias("event_type"), name.alias("name"), F.split(context, "-").alias("_c"), may_follow.alias("_hops")).select(
+    spans = with_payload(records, "type string").select(event.alias("event_type"), name.alias("name"), F.split(context, "-").alias("_c"), may_follow.alias("_hops")).select(
         F.get("_c", F.lit(1)).alias("trace_id"), F.get("_c", F.lit(2)).alias("span_id"), "name", "event_type", "_hops",
         F.concat(F.substring_index("name", ".", 1), F.lit("-service")).alias("service"))
     parent = F.concat_ws("-", F.lit("00"), "trace_id", "span_id", F.lit("01"))

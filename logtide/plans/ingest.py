@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logtide import schemas as S
-from logtide.functions.tracecontext import carried
+from logtide.functions.tracecontext import carried_first
 from logtide.operators.claims import classify, digest, offload
 from logtide.operators.decode import Writer, block_errors, declare, read_framed, read_versions, wire_header, with_reject_reason
 from logtide.operators.gate import gate_rows
 from logtide.operators.retry import dead_letters
-from logtide.operators.services import published_spans, relayed
+from logtide.operators.services import published_spans, relayed, with_payload
 from logtide.plans import derived as D
 from logtide.plans.registry import query
 from logtide.session import scratch_path
@@ -274,9 +274,10 @@ def clustered_table(spark: SparkSession, sf: str) -> DataFrame:
     FROM f_outbox""", ("f_outbox",))
 def outbox_relay(spark: SparkSession, sf: str) -> DataFrame:
     """Records as published by the relay; the trace context comes out of the payload, as a consumer takes it."""
-    records = relayed(D.published_events(spark, sf))
-    return records.select("topic", "key", F.get_json_object("value", "$.type").alias("event_type"), F.element_at("headers", "id").alias("event_id"),
-                          carried(F.col("headers"), F.col("value")).alias("traceparent"))
+    records = with_payload(relayed(D.published_events(spark, sf)), "type string")
+    context = carried_first(F.col("headers"), F.col("payload.traceContext.traceparent"))
+    return records.select("topic", "key", F.col("payload.type").alias("event_type"), F.element_at("headers", "id").alias("event_id"),
+                          context.alias("traceparent"))
 
 
 @query("outbox_rows", """

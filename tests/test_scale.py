@@ -61,3 +61,12 @@ def test_spans_offer_the_hop_of_their_topics_consumer(spark):
     elsewhere = records.withColumn("topic", F.concat(F.lit("eu-"), F.col("topic")))
     assert sorted(map(tuple, services.published_spans(elsewhere).collect()), key=repr) == sorted(map(tuple, offered.collect()), key=repr)
     assert set(services.CONSUMED.values()) == set(services.HOPS.values()) - {"order.create"}
+
+
+def test_payloads_are_parsed_once(spark, sf):
+    """A hop parses a record once, whatever it reads of it, and so does a consumer of the relay."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    records = services.relayed(D.published_events(spark, sf))
+    for df, parses in ((QUERIES["outbox_relay"].plan(spark, sf), 1), (services.payment_service(records), 2), (services.inventory_service(records), 2),
+                       (services.shipping_service(records), 1), (services.published_spans(records), 2)):
+        assert (plan(df).count("from_json("), plan(df).count("get_json_object(")) == (parses, 0)
