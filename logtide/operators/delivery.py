@@ -38,8 +38,9 @@ def new_deliveries(batch: DataFrame, ledger: DataFrame) -> DataFrame:
 def distinct_deliveries(batch: DataFrame, seq: str) -> DataFrame:
     """One row per delivery triple: the copy with the lowest ``seq``."""
     rest = [c for c in batch.columns if c not in DELIVERY]
+    # By offset first: the copies are sorted by their triple, and topic and partition rarely tell two of them apart.
     return (
-        batch.groupBy(*DELIVERY).agg(F.min_by(F.struct(*rest), F.col(seq)).alias("_r"))
+        batch.groupBy(*reversed(DELIVERY)).agg(F.min_by(F.struct(*rest), F.col(seq)).alias("_r"))
         .select(*DELIVERY, "_r.*").select(*batch.columns)
     )
 

@@ -90,18 +90,19 @@ def chunked_positions(df: DataFrame, groups: list[str], order: list[str], name:
     starts, upto = [], {}
     for r in sorted(counts, key=lambda r: r["_chunk"]):
         group = tuple(r[g] for g in groups)
-        starts.append((*group, r["_chunk"], upto.get(group, 0)))
+        starts.append((*group, r["_chunk"], len(starts), upto.get(group, 0)))
         upto[group] = upto.get(group, 0) + r["n"]
     fields = ", ".join(f"`_g{i}` {df.schema[g].dataType.simpleString()}" for i, g in enumerate(groups))
-    known = F.broadcast(spark.createDataFrame(starts, f"{fields}{', ' if fields else ''}_c int, _start long"))
+    known = F.broadcast(spark.createDataFrame(starts, f"{fields}{', ' if fields else ''}_c int, _cell int, _start long"))
     cut = df.select("*", chunk)
     # Null-safe, though no chunk is null: from a plain equality Spark infers a filter "chunk is known", pushes it down to the
     # scan and computes every chunk once more there.
     same = F.col("_chunk").eqNullSafe(F.col("_c"))
     for i, g in enumerate(groups):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    inside = Window.partitionBy(*groups, "_chunk").orderBy(*order)
-    numbered = cut.withColumn("_no", F.row_number().over(inside)).join(known, same)
+    # A chunk of a group has a number of its own, so rows are sorted by it and not by the names of their group.
+    inside = Window.partitionBy("_cell").orderBy(*order)
+    numbered = cut.join(known, same).withColumn("_no", F.row_number().over(inside))
     return numbered.select(*df.columns, (F.col("_start") + F.col("_no") - 1).alias(name))
 
 

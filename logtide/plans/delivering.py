@@ -172,8 +172,8 @@ def dedup_delivery_vs_business(spark: SparkSession, sf: str) -> DataFrame:
 
     An order has a payment and maybe a refund, and every 5th of these events was sent again with a new offset.
     """
-    log = D.resent(D.log_payments(spark, sf)).select(
-        F.col("key"), F.get_json_object("value", "$.status").alias("status"), *V.DELIVERY)
+    events = D.log_payments(spark, sf).select("key", F.get_json_object("value", "$.status").alias("status"), *V.DELIVERY, "timestamp")
+    log = D.resent(events).select("key", "status", *V.DELIVERY)
     once = V.distinct_deliveries(D.deliveries(log), "delivery_seq")
     events = once.groupBy("key", "status").agg(F.count("*").alias("copies"))
     return events.groupBy("key").agg(F.sum("copies").alias("delivery_effects"), F.count("*").alias("business_effects"))

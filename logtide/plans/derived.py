@@ -63,14 +63,15 @@ def full_orders(spark: SparkSession, sf: str) -> DataFrame:
     Lines are dealt by order before they are collected: collecting reduces nothing, so a
     first round inside the scan tasks would only sort the lines once more.
     """
-    item = F.struct(F.concat(F.lit("sku-"), F.col("l_partkey").cast("string")).alias("sku"),
-                    F.col("l_quantity").cast("int").alias("qty"))
     lines = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("order_no"), F.struct("l_linenumber", "l_partkey", "l_quantity", item.alias("item")).alias("_l"))
-    items = lines.repartition("order_no").groupBy("order_no").agg(F.sort_array(F.collect_list("_l")).alias("_l"))
+        F.col("l_orderkey").alias("order_no"), F.struct("l_linenumber", "l_partkey", "l_quantity").alias("_l"))
+    # The columns move as they are; an item is made of them after its order is put together.
+    gathered = lines.repartition("order_no").groupBy("order_no").agg(F.sort_array(F.collect_list("_l")).alias("_l"))
+    items = F.transform("_l", lambda line: F.struct(F.concat(F.lit("sku-"), line["l_partkey"].cast("string")).alias("sku"),
+                                                    line["l_quantity"].cast("int").alias("qty")))
     none = F.array().cast("array<struct<sku:string,qty:int>>")
-    return orders(spark, sf).join(items, "order_no", "left").select(
-        "order_no", "order_id", "customer_id", F.coalesce(F.col("_l.item"), none).alias("items"), "total", "status", "ts")
+    return orders(spark, sf).join(gathered, "order_no", "left").select(
+        "order_no", "order_id", "customer_id", F.coalesce(items, none).alias("items"), "total", "status", "ts")
 
 
 def order_json() -> Column:
@@ -201,9 +202,10 @@ def attachment_refs(spark: SparkSession, sf: str) -> DataFrame:
 
 def resent(log: DataFrame) -> DataFrame:
     """The log with every 5th record sent again later: same key, new offset, new delivery, marked ``again``."""
-    again = log.filter(F.col("offset") % 5 == 0).withColumn("offset", F.col("offset") + F.lit(10 ** 12)).withColumn(
-        "timestamp", F.timestamp_seconds(F.unix_seconds("timestamp") + 86_400))
-    return log.withColumn("again", F.lit(False)).unionByName(again.withColumn("again", F.lit(True)))
+    times = F.when(F.col("offset") % 5 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    again, both = F.col("again"), log.withColumn("again", F.explode(times))
+    later = {"offset": F.col("offset") + F.lit(10 ** 12), "timestamp": F.timestamp_seconds(F.unix_seconds("timestamp") + 86_400)}
+    return both.select(*[F.when(again, later[c]).otherwise(F.col(c)).alias(c) if c in later else c for c in log.columns], "again")
 
 
 def published_events(spark: SparkSession, sf: str) -> DataFrame:

@@ -70,3 +70,10 @@ def test_payloads_are_parsed_once(spark, sf):
     for df, parses in ((QUERIES["outbox_relay"].plan(spark, sf), 1), (services.payment_service(records), 2), (services.inventory_service(records), 2),
                        (services.shipping_service(records), 1), (services.published_spans(records), 2)):
         assert (plan(df).count("from_json("), plan(df).count("get_json_object(")) == (parses, 0)
+
+
+def test_a_log_sent_again_is_read_once_and_lines_move_without_text(spark, sf):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(QUERIES["dedup_delivery_vs_business"].plan(spark, sf)).count("Relation [") == 1
+    dealt = plan(D.full_orders(spark, sf)).split("RepartitionByExpression [order_no")[1]
+    assert "sku-" not in dealt and "l_partkey" in dealt
